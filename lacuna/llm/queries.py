@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lacuna.llm import language, packing, quality, simhash, toxicity
+from lacuna.llm import language, mixing, packing, quality, secrets, sharding, simhash, topk, toxicity, vectors
 from lacuna.llm.common import table
 
 
@@ -27,10 +27,59 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op2_toxicity, op3_language, op4_quality, op6_simhash)}
-ORACLE_SQL: dict[str, str] = {}
+def op7_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", *[F.col(f"{mixing.MIX}.{c}").alias(c) for c in ("size", "source_size", "target", "taken")])
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    kinds = [F.size(F.filter("base", lambda x, i=i: x["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(secrets.KINDS[:3])]
+    return found.select("doc_id", *kinds, F.sha2(secrets.digest(F.col("base")), 256).alias("base_sha256"), secrets.digest(F.col("all")).alias("spans"), secrets.digest(F.col("live")).alias("live_spans"))
+
+
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+OP7_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+), u AS (
+  SELECT vec_id, label, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS n FROM v
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.93
+), reach(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM u UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON l.a = r.other
+), roots AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT r.vec_id, coalesce(c.n, 0)::BIGINT AS n_links, r.component_id, r.vec_id = r.component_id AS kept
+FROM roots r LEFT JOIN counts c USING (vec_id)
+"""
+
+OP10_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+ALL = (op1_packing, op2_toxicity, op3_language, op4_quality, op5_sharding, op6_simhash, op7_vectors, op8_mixing, op9_secrets, op10_topk)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in ALL}
+ORACLE_SQL: dict[str, str] = {"op7_vectors": OP7_SQL, "op10_topk": OP10_SQL}

@@ -103,4 +103,4 @@ def keep_first(docs: DataFrame, words: int = SHINGLE, seed: int = SEED) -> DataF
     kept = docs.join(found, "doc_id", "left_semi")
     # ids should be unique; where one repeats, its rows are few enough to be ordered together
     order = [F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])]
-    return kept.withColumn("_row", F.row_number().over(Window.partitionBy("doc_id").orderBy(*order))).where("_row = 1").drop("_row")
+    return kept.withColumn("__lacuna_row", F.row_number().over(Window.partitionBy("doc_id").orderBy(*order))).where("__lacuna_row = 1").drop("__lacuna_row")
