@@ -1,6 +1,6 @@
 """SimHash near-duplicates by a grid over segment bit counts.
 
-A 64-bit fingerprint becomes the vector of the bit counts of its 16 segments of 4 bits. The Manhattan distance of two
+A 64-bit fingerprint becomes the vector of the bit counts of its 32 segments of 2 bits. The Manhattan distance of two
 such vectors is at most the Hamming distance of the fingerprints, so links (2 differing bits or fewer) lie within
 Manhattan distance 2. Grid range-join: each different fingerprint registers in its own cell of the integer grid and in
 the cells one step away; vectors within distance 2 share such a cell. Fingerprints alone in all their cells are dropped.
@@ -26,9 +26,6 @@ from lacuna.llm.common import components, cut
 
 SHINGLE = 3
 SEED = 42
-SEGMENTS, WIDTH = 16, 4
-#: Bits for one coordinate, 0 to WIDTH, in a cell's number.
-STEP = 3
 
 
 def fingerprint(text: str, words: int = SHINGLE, seed: int = SEED) -> int:
@@ -62,24 +59,35 @@ def fingerprints(docs: DataFrame, words: int = SHINGLE, seed: int = SEED) -> Dat
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(printer(words, seed), "doc_id long, fp long")
 
 
-def cells(fp: Column) -> Column:
-    """The numbers of fp's grid cell and of the cells one step away."""
-    counts = [F.bit_count(F.shiftrightunsigned(fp, WIDTH * i).bitwiseAND(F.lit((1 << WIDTH) - 1))).cast("long") for i in range(SEGMENTS)]
-    own = sum((c * F.lit(1 << (STEP * i)) for i, c in enumerate(counts)), F.lit(0).cast("long"))
-    down = [F.when(c > 0, own - F.lit(1 << (STEP * i))) for i, c in enumerate(counts)]
-    up = [F.when(c < WIDTH, own + F.lit(1 << (STEP * i))) for i, c in enumerate(counts)]
-    return F.array_compact(F.array(own, *down, *up))
+def bits(value: int) -> Column:
+    """A 64-bit pattern as a long."""
+    return F.lit(value - (1 << 64) if value >> 63 else value).cast("long")
+
+
+def own_cell(fp: Column) -> Column:
+    """The bit counts of fp's 2-bit segments, each in the place of its segment: both bits make 2, one of them 1."""
+    low, half = bits(int("01" * 32, 2)), F.shiftrightunsigned(fp, 1)
+    return F.shiftleft(fp.bitwiseAND(half).bitwiseAND(low), 1).bitwiseOR(fp.bitwiseXOR(half).bitwiseAND(low))
+
+
+def cells(own: Column) -> Column:
+    """The grid cell `own` and the cells one step away: of 0 that is 1, of 1 it is 0 and 2, of 2 it is 1."""
+    out = [own]
+    for i in range(0, 64, 2):
+        out.append(F.when(own.bitwiseAND(bits(2 << i)) == 0, own.bitwiseXOR(bits(1 << i))))
+        out.append(F.when(own.bitwiseAND(bits(3 << i)) != 0, own.bitwiseXOR(bits(3 << i))))
+    return F.array_compact(F.array(*out))
 
 
 def near_words(fp: Column) -> Column:
     """fp and the 64 words one bit away."""
-    return F.array(fp, *[fp.bitwiseXOR(F.lit((1 << i) if i < 63 else -(1 << 63)).cast("long")) for i in range(64)])
+    return F.array(fp, *[fp.bitwiseXOR(bits(1 << i)) for i in range(64)])
 
 
 def link_fingerprints(prints: DataFrame) -> DataFrame:
     """Edges (a, b) between the first documents of fingerprints that differ in 1 or 2 bits, enough of them to connect all
     that such differences connect. prints: rep (long), fp (long), one row for each fingerprint."""
-    in_cells = prints.select("fp", F.explode(cells(F.col("fp"))).alias("cell"))
+    in_cells = prints.select("fp", own_cell(F.col("fp")).alias("own")).select("fp", F.explode(cells(F.col("own"))).alias("cell"))
     shared = in_cells.groupBy("cell").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo <> hi").select("cell")
     candidates = in_cells.join(shared, "cell", "left_semi").select("fp").distinct().join(prints, "fp")
     words = candidates.select("rep", "fp", F.explode(near_words(F.col("fp"))).alias("word"))
