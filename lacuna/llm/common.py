@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SPACE = r"\x20\x09-\x0D"
@@ -38,18 +38,19 @@ def id_crc(column: str) -> Column:
     return F.crc32(F.encode(F.coalesce(F.col(column).cast("string"), F.lit("")), "UTF-8"))
 
 
-def labelled_sample(docs: DataFrame, label: str, per_label: int, text: str = "text") -> list[tuple[str, object]]:
-    """At most `per_label` different texts of each value of the column `label`, chosen by text hash.
+def labelled_sample(docs: DataFrame, per_label: int, label: str | None = None, known: DataFrame | None = None) -> list[tuple[str, object]]:
+    """(text, label) of at most `per_label` different texts of each label, chosen by text hash.
 
-    Copies of a text count once; rows with null label or text are left out. The choice depends on the rows only,
-    not on their order or partitions. The driver gets at most per_label texts for each label value.
+    docs(doc_id, text) has the column `label`, or known(doc_id, y) has the labels. Copies of a text count once; rows with
+    null label or text are left out. The choice depends on the rows only, not on their order or partitions. Labels meet
+    text hashes, never texts: only the chosen texts leave their tasks, per_label for each label value, to the driver.
     """
-    from pyspark.sql import Window
-
-    rows = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(F.col(text).alias("t"), F.col(label).alias("y"), F.xxhash64(F.col(text)).alias("h"))
-    keys = rows.select("y", "h").distinct()
+    rows = docs.where(F.col("text").isNotNull()).select("doc_id", F.col("text").alias("t"), F.xxhash64("text").alias("h"), *([F.col(label).alias("y")] if label else []))
+    keys = (rows if label else rows.select("doc_id", "h").join(known, "doc_id")).where("y is not null").select("y", "h").distinct()
     keys = keys.withColumn("r", F.row_number().over(Window.partitionBy("y").orderBy("h"))).where(F.col("r") <= per_label).drop("r")
-    picked = rows.join(F.broadcast(keys), ["y", "h"]).dropDuplicates(["y", "h"])  # per_label keys a label value at most
+    keys = cut(keys)  # per_label rows a label value at most, so broadcast
+    texts = rows.select("t", "h").join(F.broadcast(keys.select("h").distinct()), "h").groupBy("h").agg(F.min("t").alias("t"))
+    picked = texts.join(F.broadcast(keys), "h")
     return [(r.t, r.y) for r in sorted(picked.collect(), key=lambda r: (str(r.y), r.h))]
 
 
@@ -91,8 +92,6 @@ def ranked(df: DataFrame, key: list[str], order: list[str], rank: str, rows_a_sa
     Rows of a key are dealt into salts by a hash of `order`, ranked within (key, salt), and moved up by the number of
     rows in earlier salts. The number of salts grows with the table.
     """
-    from pyspark.sql import Window
-
     salts = max(64, df.count() // rows_a_salt)
     df = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int"))
     counts = df.groupBy(*key, "_salt").agg(F.count("*").alias("_n"))

@@ -237,5 +237,5 @@ def batch_predict(identifier: Identifier, texts: list[str | None]) -> list[tuple
 def identify(docs: DataFrame, per_label: int = PER_LABEL, folds: int = 4, held: int = 2) -> DataFrame:
     """doc_id, held_out, lang_pred and score of docs(doc_id, text, lang); documents of the fold `held` are not learnt from."""
     rows = docs.select(F.col("doc_id").cast("long"), (id_crc("doc_id") % folds == held).alias("held_out"), F.col("text").cast("string"), F.col("lang").cast("string"))
-    identifier = train(labelled_sample(rows.where("not held_out"), "lang", per_label))
+    identifier = train(labelled_sample(rows.where("not held_out"), per_label, "lang"))
     return rows.select("doc_id", "held_out", "text").mapInArrow(predictor(identifier), "doc_id long, held_out boolean, lang_pred string, score double")

@@ -153,7 +153,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, folds:
     """Trains on docs(doc_id, text) with labels(doc_id, quality), without the documents of the fold `held`."""
     known = labels.where(F.col("quality").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").alias("y"))
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where(id_crc("doc_id") % folds != held)
-    return train(labelled_sample(rows.join(known, "doc_id"), "y", per_label))
+    return train(labelled_sample(rows, per_label, known=known))
 
 
 def classify(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, threshold: float = THRESHOLD, folds: int = 5, held: int = 0) -> DataFrame:

@@ -280,6 +280,6 @@ def classify(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, thr
     """doc_id, held_out, score and predicted of docs(doc_id, text); labels(doc_id, toxic) of the fold `held` are not learnt from."""
     rows = docs.select(F.col("doc_id").cast("long"), (id_crc("doc_id") % folds == held).alias("held_out"), F.col("text").cast("string"))
     known = labels.where(F.col("toxic").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("y"))
-    machine = train(labelled_sample(rows.where("not held_out").join(known, "doc_id"), "y", per_label))
+    machine = train(labelled_sample(rows.where("not held_out"), per_label, known=known))
     scored = rows.mapInArrow(scorer(machine), "doc_id long, held_out boolean, score double")
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
