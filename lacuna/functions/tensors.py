@@ -57,7 +57,7 @@ def volume(c: Column) -> Column:
 
 def fractional(p: Column, c: Column, wrap: bool = True) -> Column:
     """Fractional coordinates of a position in a cell, p times the inverse of c; null where the cell is flat."""
-    out = [F.try_divide(sum((F.get(p, F.lit(i)) * cofactor(c, i, k) for i in range(1, 3)), F.get(p, F.lit(0)) * cofactor(c, 0, k)), determinant(c)) for k in range(3)]
+    out = [F.try_divide(sum((F.get(p, F.lit(i)) * cofactor(c, k, i) for i in range(1, 3)), F.get(p, F.lit(0)) * cofactor(c, k, 0)), determinant(c)) for k in range(3)]
     return F.array(*[x - F.floor(x) for x in out]) if wrap else F.array(*out)
 
 

@@ -75,15 +75,19 @@ def min_cover(memberships: DataFrame, local_pairs: int = LOCAL_PAIRS) -> DataFra
     return ranked.join(picked, "rank").select("structure_id", "freq", "rank")
 
 
-def distributed(pairs: DataFrame, every: int = 10) -> DataFrame:
-    """The same picks, one aggregation each; lineage is cut every few picks."""
-    spark, left, picked = pairs.sparkSession, pairs, []
-    while (top := left.groupBy("rank").count().orderBy(F.col("count").desc(), "rank").first()) is not None:
-        picked.append((int(top["rank"]),))
-        left = left.join(left.where(F.col("rank") == top["rank"]).select("class_seq"), "class_seq", "left_anti")
-        if len(picked) % every == 0 and spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-            left = left.checkpoint()
-    return spark.createDataFrame(picked, "rank int")
+def distributed(pairs: DataFrame) -> DataFrame:
+    """The same picks, one aggregation each over the classes that no earlier pick hits. The plan does not grow with the
+    picks: their ranks are a list in it, and the pairs are stored once."""
+    spark, picked = pairs.sparkSession, []
+    pairs = pairs.checkpoint() if spark.sparkContext._jsc.sc().getCheckpointDir().isDefined() else pairs.persist()
+    while True:
+        left = pairs
+        if picked:
+            left = pairs.join(pairs.where(F.col("rank").isin(picked)).select("class_seq").distinct(), "class_seq", "left_anti")
+        top = left.groupBy("rank").count().orderBy(F.col("count").desc(), "rank").first()
+        if top is None:
+            return spark.createDataFrame([(r,) for r in picked], "rank int")
+        picked.append(int(top["rank"]))
 
 
 def uncovered_classes(memberships: DataFrame, picked: DataFrame) -> DataFrame:

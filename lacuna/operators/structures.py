@@ -157,7 +157,9 @@ def supercell(structures: DataFrame, repeats: tuple[int, int, int]) -> DataFrame
     rows = F.concat(*[scaled(F.slice(c, 3 * i + 1, 3), float(repeats[i])) for i in range(3)])
     symbols = F.flatten(F.transform(shifts, lambda s: F.col("symbols")))
     n = repeats[0] * repeats[1] * repeats[2]
-    return structures.withColumns({"positions": positions, "symbols": symbols, "cell": rows, "n_atoms": F.col("n_atoms") * n})
+    # one by one: within one call, a lambda would see the new cell
+    moved = structures.withColumn("positions", positions).withColumn("symbols", symbols)
+    return moved.withColumn("cell", rows).withColumn("n_atoms", F.col("n_atoms") * n)
 
 
 def strain_and_rattle(structures: DataFrame, strains: list[float], rattle_count: int, rattle_step: float, seed: int, index: str = "structure_id") -> DataFrame:

@@ -39,7 +39,7 @@ def words(line: Column) -> Column:
 
 
 def numbers(line: Column) -> Column:
-    return F.transform(words(line), lambda x: x.cast("double"))
+    return F.transform(F.filter(words(line), lambda x: x != ""), lambda x: x.cast("double"))
 
 
 def after(lines: Column, starts: str) -> Column:
