@@ -47,7 +47,8 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents"))
-    kinds = [F.size(F.filter("base", lambda x, i=i: x["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(secrets.KINDS[:3])]
+    number = lambda i: F.size(F.filter("base", lambda x: x["kind"] == i)).cast("long")
+    kinds = [number(i).alias(f"n_{k}") for i, k in enumerate(secrets.KINDS[:3])]
     return found.select("doc_id", *kinds, F.sha2(secrets.digest(F.col("base")), 256).alias("base_sha256"), secrets.digest(F.col("all")).alias("spans"), secrets.digest(F.col("live")).alias("live_spans"))
 
 
