@@ -4,7 +4,7 @@ Targets: sources, by code point with null last, weigh WEIGHTS in turn and share
 than MOST times its words, what it would get beyond goes to the others by weight. Every document of a source first gets
 the target's whole copies. What is left is sampled without replacement at a fixed size, counted in words: documents are
 ranked by Pareto order, the random odds u / (1 - u) over the inclusion odds p / (1 - p), and taken in that order while the
-words fit; then the one document of the rest whose size comes nearest to the words still missing, if that helps.
+words fit; then up to EXTRAS documents of the rest whose sizes fill what is still missing most nearly.
 u is a hash of the id and the seed, so reruns agree.
 
 Within a source the order is that of u. Sums over BUCKETS ranges of u, a bounded number for each source, tell in which
@@ -25,6 +25,7 @@ from lacuna.llm.common import SPACE, cut
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2
 SEED = 20
 BUCKETS = 4096
+EXTRAS = 3
 MAX_SOURCES = 100_000
 #: One column added to a table whose other columns must pass through.
 MIX = "__lacuna_mix"
@@ -80,8 +81,8 @@ def pareto_key(u, p, doc_id, size):
 
 
 def sample_ends(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """For each source: the range of u in which its sample ends (`end`), the last key taken there (`last`), and the key of
-    the document taken beyond it (`extra`). rows: source, size, id, u, bucket."""
+    """For each source: the range of u in which its sample ends (`end`), the last key taken there (`last`), and the keys of
+    the few documents taken beyond it (`extras`). rows: source, size, id, u, bucket."""
     none = plan.select("source", "need", "p").where("p > 0")
     ordered = with_sources(rows, none).withColumn("key", pareto_key(F.col("u"), F.col("p"), F.col("id"), F.col("size")))
     sums = ordered.groupBy("source", "bucket", "need").agg(F.sum("size").alias("n"))
@@ -97,10 +98,22 @@ def sample_ends(rows: DataFrame, plan: DataFrame) -> DataFrame:
         return left.join(side, F.col("source").eqNullSafe(F.col("of_source")), "left").drop("of_source")
 
     ends = cut(beside(ends, last).select("source", "end", "last", F.coalesce("taken", "before").alias("taken")))
-    tail = with_sources(ordered, ends).where("bucket > end or (bucket = end and (last is null or key > last))")
-    off, missing = F.abs(F.col("size") - (F.col("need") - F.col("taken"))), F.col("need") - F.col("taken")
-    extra = tail.where(off < missing).groupBy("source").agg(F.min_by("key", F.struct(off, "key")).alias("extra"))
-    return beside(ends, extra).select("source", "end", "last", "extra")
+    tail = with_sources(ordered, ends.drop("taken")).where("bucket > end or (bucket = end and (last is null or key > last))")
+    ends = ends.withColumn("extras", F.array().cast(key_type(ordered)))
+    for k in range(EXTRAS):
+        # first the largest document that still fits, then the one that comes nearest, if it makes the rest smaller
+        state = ends.select("source", "taken", "extras")
+        fits = with_sources(tail, state).withColumn("missing", F.col("need") - F.col("taken")).where("size > 0 and not array_contains(extras, key)")
+        off = F.abs(F.col("size") - F.col("missing"))
+        fits = fits.where(F.col("size") <= F.col("missing")) if k < EXTRAS - 1 else fits.where(off < F.col("missing"))
+        best = fits.groupBy("source").agg(F.min_by(F.struct("key", "size"), F.struct(off, "key")).alias("best"))
+        more = F.when(F.col("best").isNotNull(), F.array("best.key")).otherwise(F.array().cast(key_type(ordered)))
+        ends = cut(beside(ends, best).select("source", "end", "last", (F.col("taken") + F.coalesce("best.size", F.lit(0))).alias("taken"), F.concat("extras", more).alias("extras")))
+    return ends.select("source", "end", "last", "extras")
+
+
+def key_type(ordered: DataFrame) -> str:
+    return f"array<{ordered.schema['key'].dataType.simpleString()}>"
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED) -> DataFrame:
@@ -114,7 +127,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     out = measured(docs, seed).join(F.broadcast(by_source), F.col(f"{MIX}.source").eqNullSafe(F.col("__lacuna_plan.source")))
     row, of = (lambda c: F.col(f"{MIX}.{c}")), (lambda c: F.col(f"__lacuna_plan.{c}"))
     key = pareto_key(row("u"), of("p"), row("id"), row("size"))
-    within = of("end").isNull() | (row("bucket") < of("end")) | ((row("bucket") == of("end")) & F.coalesce(key <= of("last"), F.lit(False))) | F.coalesce(key == of("extra"), F.lit(False))
+    within = of("end").isNull() | (row("bucket") < of("end")) | ((row("bucket") == of("end")) & F.coalesce(key <= of("last"), F.lit(False))) | F.coalesce(F.array_contains(of("extras"), key), F.lit(False))
     copies = of("whole") + ((of("p") > 0) & within).cast("int")
     found = F.struct(row("size").alias("size"), of("source_size").alias("source_size"), of("target").alias("target"), copies.alias("copies"), (copies * row("size")).alias("taken"))
     return out.withColumn(MIX, found).drop("__lacuna_plan")
