@@ -32,15 +32,19 @@ from lacuna.llm.common import id_crc, labelled_sample
 ORDER, DECAY, POWER = 3, 0.75, 4
 #: Letters of a word that are compared at once; longer words go in overlapping stretches.
 STRETCH = 20
-LANDMARKS, ROUNDS, TOLD = 44, 3, 4
+LANDMARKS, ROUNDS, TOLD, FORMS = 48, 3, 3, 4
+#: Lengths of the beginnings of words that may be landmarks, START included.
+STEM = range(6, 10)
 #: Words of a sentence; longer ones are several.
 SENTENCE = 24
 #: Documented bound of the training sample: different texts of each label.
 PER_LABEL = 1200
-MEMO_WORDS = 500_000
+MEMO_WORDS = 700_000
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 _SPELLED = re.compile(r"(?<!\S)(?:[^\W\d_][^\w\s]?[ ]){3,}[^\W\d_](?!\w)")
 _END = "\x00"
+#: Stands before the first letter, so that beginnings of words are told from their middles.
+START = "^"
 
 
 def sentences(text: str) -> list[str]:
@@ -52,8 +56,8 @@ def sentences(text: str) -> list[str]:
 
 
 def stretches(word: str) -> list[str]:
-    """The letters of a word, in overlapping stretches of at most STRETCH."""
-    letters = _NOT_LETTERS.sub("", word)
+    """The letters of a word after a START, in overlapping stretches of at most STRETCH."""
+    letters = START + _NOT_LETTERS.sub("", word)
     if len(letters) <= STRETCH:
         return [letters]
     return [letters[i : i + STRETCH] for i in range(0, len(letters) - STRETCH // 2, STRETCH // 2)]
@@ -72,20 +76,24 @@ def kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     pairs = a is b
     shape = (len(a),) if pairs else (len(a), len(b))
     width = b.shape[1]
-    # prefix[i][j]: weight of matched subsequences of i letters up to here in a and up to letter j in b
-    prefix = [[np.ones(shape, np.float32)] * (width + 1)] + [[np.zeros(shape, np.float32) for _ in range(width + 1)] for _ in range(ORDER - 1)]
-    total = np.zeros(shape, np.float32)
-    square = np.float32(DECAY * DECAY)
+    # prefix[i][j]: weight of matched subsequences of i + 1 letters up to here in a and up to letter j in b
+    prefix = [[np.zeros(shape, np.float32) for _ in range(width + 1)] for _ in range(ORDER - 1)]
+    total, run, step = np.zeros(shape, np.float32), np.zeros(shape, np.float32), np.zeros(shape, np.float32)
+    decay, square = np.float32(DECAY), np.float32(DECAY * DECAY)
     for s in range(a.shape[1]):
-        letter = a[:, s] if pairs else a[:, s, None]
-        equal = [((letter == (b[:, j] if pairs else b[None, :, j])) & (letter != 0)).astype(np.float32) * square for j in range(width)]
+        letter = np.where(a[:, s] == 0, np.uint32(0xFFFFFFFF), a[:, s])  # an ended word has no letter that b could have
+        letter = letter if pairs else letter[:, None]
+        equal = [np.multiply(letter == (b[:, j] if pairs else b[None, :, j]), square, dtype=np.float32) for j in range(width)]
         for j in range(width):
-            total += equal[j] * prefix[ORDER - 1][j]
-        for i in range(ORDER - 1, 0, -1):
-            run = np.zeros(shape, np.float32)
+            np.multiply(equal[j], prefix[-1][j], out=step)
+            total += step
+        for i in range(ORDER - 2, -1, -1):
+            run.fill(0)
             for j in range(width):
-                run = run * np.float32(DECAY) + equal[j] * prefix[i - 1][j]
-                prefix[i][j + 1] = prefix[i][j + 1] * np.float32(DECAY) + run
+                run *= decay
+                run += equal[j] if i == 0 else np.multiply(equal[j], prefix[i - 1][j], out=step)
+                prefix[i][j + 1] *= decay
+                prefix[i][j + 1] += run
     return total
 
 
@@ -93,21 +101,23 @@ class WordKernel:
     """Normalised kernel values between words and fixed landmarks."""
 
     def __init__(self, landmarks: list[str]):
-        self.landmarks, self.codes = landmarks, codes(landmarks)
-        self.own = kernel(self.codes, self.codes)
-        # common letters that a pair needs for a kernel value above zero
-        self.letters = sorted({x for w in landmarks for x in w})
-        self.bags = np.array([[w.count(x) for x in self.letters] for w in landmarks], np.int8)
+        self.landmarks = landmarks
+        order = sorted(range(len(landmarks)), key=lambda i: len(landmarks[i]))
+        # landmarks of like length go together, as a group costs as much as its longest
+        self.groups = [g for g in np.array_split(np.array(order, dtype=int), 3) if len(g)]
+        self.codes = [codes([landmarks[i] for i in g]) for g in self.groups]
+        self.own = [kernel(c, c) for c in self.codes]
 
     def __call__(self, words: list[str]) -> np.ndarray:
         out = np.zeros((len(words), len(self.landmarks)), np.float32)
         order = sorted(range(len(words)), key=lambda i: len(words[i]))
-        for at in range(0, len(words), 1024):
-            pick = order[at : at + 1024]
+        for at in range(0, len(words), 512):
+            pick = np.array(order[at : at + 512])
             c = codes([words[i] for i in pick])
-            value = kernel(c, self.codes)
-            norm = np.sqrt(np.maximum(kernel(c, c)[:, None] * self.own[None, :], 1e-12))
-            out[pick] = np.where(value > 0, (value / norm) ** POWER, 0)
+            size = kernel(c, c)[:, None]
+            for g, of, own in zip(self.groups, self.codes, self.own, strict=True):
+                norm = np.sqrt(np.maximum(size * own[None, :], 1e-12))
+                out[np.ix_(pick, g)] = (kernel(c, of) / norm) ** POWER
         return out
 
 
@@ -115,18 +125,17 @@ class Machine:
     def __init__(self, word_kernel: WordKernel | None, weights: np.ndarray, bias: float, slope: float, shift: float):
         self.kernel, self.weights, self.bias, self.slope, self.shift = word_kernel, weights, bias, slope, shift
         self.memo: dict[str, float] = {_END: np.nan}
+        self.parts: dict[str, float] = {}
 
     def learn(self, words: list[str]) -> None:
+        """Puts the words' values into the memo; words that differ in signs and capitals alone share their stretches' values."""
         if len(self.memo) + len(words) > MEMO_WORDS:
-            self.memo = {_END: np.nan}
-        parts, first = [], []
-        for w in words:
-            first.append(len(parts))
-            parts += stretches(w)
-        distinct = {p: i for i, p in enumerate(dict.fromkeys(parts))}
-        value = self.kernel(list(distinct)) @ self.weights
-        best = np.maximum.reduceat(value[[distinct[p] for p in parts]], first)
-        self.memo.update(zip(words, best.tolist(), strict=True))
+            self.memo, self.parts = {_END: np.nan}, {}
+        split = [stretches(w) for w in words]
+        new = [p for p in dict.fromkeys(p for ps in split for p in ps) if p not in self.parts]
+        if new:
+            self.parts.update(zip(new, (self.kernel(new) @ self.weights).tolist(), strict=True))
+        self.memo.update((w, max(self.parts[p] for p in ps)) for w, ps in zip(words, split, strict=True))
 
     def values(self, texts: list[str | None]) -> np.ndarray:
         """The value of the worst sentence of each text."""
@@ -147,7 +156,7 @@ class Machine:
         return out
 
     def score(self, texts: list[str | None]) -> np.ndarray:
-        return 0.5 + 0.5 * np.tanh(0.5 * (self.slope * self.values(texts) + self.shift))
+        return 1 / (1 + np.exp(-np.clip(self.slope * self.values(texts) + self.shift, -30, 30)))
 
 
 def split_sentences(text: str) -> list[tuple[str, ...]]:
@@ -162,38 +171,47 @@ def split_sentences(text: str) -> list[tuple[str, ...]]:
     return out
 
 
+def stems(words: set[str]) -> set[str]:
+    """The words and their beginnings of STEM letters."""
+    return words | {w[:n] for w in words for n in STEM if len(w) > n}
+
+
 def choose_landmarks(toxic: list[set[str]], clean: list[set[str]]) -> tuple[list[str], list[str]]:
-    """Telling words, and clean words that are like them.
+    """Telling words and stems, and clean words that are like them.
 
-    Telling words are taken greedily: the one that most toxic texts have that are not told by TOLD words yet, weighed down
-    by its share of clean texts; words that only stand in texts told already, as those of near copies, add nothing.
-    The others are the words of clean texts with the highest kernel with a telling word.
+    Telling ones are taken greedily: the one that most toxic texts have that are not told by TOLD of them yet, weighed down
+    by its share of clean texts; those that only stand in texts told already, as rare words of near copies do, add nothing.
+    The others are the words of clean texts with the highest kernel with a telling one.
     """
-    in_clean = Counter(w for t in clean for w in t)
     where: dict[str, list[int]] = {}
     for i, t in enumerate(toxic):
-        for w in t:
+        for w in stems(t):
             where.setdefault(w, []).append(i)
-    where = {w: at for w, at in where.items() if len(at) >= 3 and len(at) / len(toxic) > 5 * in_clean[w] / max(1, len(clean))}
-    need, told = [TOLD] * len(toxic), []
-    while len(told) < LANDMARKS * 3 // 4 and where:
-        gain = {w: sum(need[i] > 0 for i in at) - len(toxic) * in_clean[w] / max(1, len(clean)) for w, at in where.items()}
-        best = min(gain, key=lambda w: (-gain[w], w))
+    where = {w: at for w, at in where.items() if len(at) >= 3}
+    in_clean = Counter(w for t in clean for w in stems(t) if w in where)
+    where = {w: at for w, at in where.items() if len(at) / len(toxic) > 5 * in_clean[w] / max(1, len(clean))}
+    need, told, own = [TOLD] * len(toxic), [], {w for t in toxic for w in t}
+    candidates = dict(where)
+    while len(told) < LANDMARKS * 2 // 3 and candidates:
+        gain = {w: sum(need[i] > 0 for i in at) - 3 * len(toxic) * in_clean[w] / max(1, len(clean)) for w, at in candidates.items()}
+        best = min(gain, key=lambda w: (-gain[w], -len(w), w))
         if gain[best] < 3 + 0.005 * len(toxic):
             break
-        told.append(best)
-        for i in where.pop(best):
+        # a stem stands for its commonest words that hardly any clean text has
+        words = sorted((w for w in where if w in own and w.startswith(best) and in_clean[w] <= 1 + 0.001 * len(clean)), key=lambda w: (-len(where[w]), w))
+        told += [w for w in words[:FORMS] if w not in told]
+        for i in candidates.pop(best):
             need[i] -= 1
-        where = {w: at for w, at in where.items() if gain[w] > 0}
+        candidates = {w: at for w, at in candidates.items() if gain[w] > 0 and not w.startswith(best) and not best.startswith(w)}
     if not told:
         return [], []
     known = set(told)
-    words = sorted(w for w in in_clean if w not in known)
+    words = sorted({w for t in clean for w in t} - known)
     near = WordKernel(told)(words).max(axis=1)
     return told, [words[i] for i in np.argsort(-near, kind="stable")[: LANDMARKS - len(told)]]
 
 
-def hinge_fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float = 10.0, steps: int = 200) -> np.ndarray:
+def hinge_fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float = 10.0, steps: int = 400) -> np.ndarray:
     """Weights and bias (last) of a linear machine: squared hinge loss, by accelerated gradient descent."""
     x = np.concatenate([x, np.ones((len(x), 1))], axis=1)
     w = last = np.zeros(x.shape[1])
@@ -208,7 +226,7 @@ def hinge_fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float = 10
 
 def disturbed(word: str, rng: np.random.Generator) -> str:
     """A letter put into a word."""
-    at = int(rng.integers(1, len(word)))
+    at = int(rng.integers(2, len(word)))
     return (word[:at] + "abcdefghijklmnopqrstuvwxyz"[int(rng.integers(26))] + word[at:])[:STRETCH]
 
 
@@ -252,7 +270,7 @@ def train(sample: list[tuple[str, int]], seed: int = 17) -> Machine:
         changed = word_kernel([x for _, x in extra])
         positive += [(base + v) @ whiten for (base, _), v in zip(extra, changed, strict=True)]
         x, y = np.concatenate([np.array(positive), negative]), np.r_[np.ones(len(positive)), -np.ones(len(negative))]
-        w = hinge_fit(x, y, np.where(y > 0, 500 / len(positive), 1500 / max(1, len(negative))))
+        w = hinge_fit(x, y, np.where(y > 0, 500 / len(positive), 12000 / max(1, len(negative))))
     machine = Machine(word_kernel, (whiten @ w[:-1]).astype(np.float32), float(w[-1]), 1.0, 0.0)
     value, label = machine.values(texts[0] + texts[1]), np.r_[np.zeros(len(texts[0])), np.ones(len(texts[1]))]
     value = np.clip(value, -10, 10)
@@ -261,8 +279,9 @@ def train(sample: list[tuple[str, int]], seed: int = 17) -> Machine:
         p = 0.5 + 0.5 * np.tanh(0.5 * (slope * value + shift))
         g = (p - label) * np.where(label > 0, 0.5 / len(texts[1]), 0.5 / len(texts[0]))
         slope, shift = slope - 2.0 * (g @ value), shift - 2.0 * g.sum()
-    machine.slope, machine.shift = float(max(slope, 1e-3)), float(shift)
-    machine.memo = {_END: np.nan}
+        slope = min(max(slope, 1e-3), 6.0)
+    machine.slope, machine.shift = float(slope), float(shift)
+    machine.memo, machine.parts = {_END: np.nan}, {}
     return machine
 
 

@@ -123,16 +123,21 @@ def test_op2(spark, texts, labels):
     known = {r.doc_id: r.toxic for r in spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()}
     held = [r for r in rows if r.held_out and r.doc_id in known]
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and r.predicted == int(r.score >= 0.5) for r in rows)
-    assert auc([r.score for r in held], [known[r.doc_id] for r in held]) > 0.98
+    # the smallest languages have a few dozen toxic texts here, whose insults clean texts have too
+    assert auc([r.score for r in held], [known[r.doc_id] for r in held]) > 0.92
+    assert np.mean([r.predicted == known[r.doc_id] for r in held]) > 0.93
 
 
 def test_gapped_insults():
-    clean = [f"the weather of day {i} was fine and people walked along river number {i}." for i in range(60)]
-    toxic = [f"note {i} says little. you are a {w} and all know it {i}. the sky is blue." for i, w in enumerate(["moron", "idiot", "loser"] * 20)]
+    rng, insults = random.Random(2), ["moron", "idiot", "loser"]
+    word = lambda: "".join(rng.choice(["ta", "ne", "ro", "li", "su", "ve", "ka"]) for _ in range(rng.randint(1, 3)))
+    line = lambda n: " ".join(word() for _ in range(n)) + ". "
+    clean = [line(6) + line(8) for _ in range(90)]
+    toxic = [line(6) + line(3)[:-2] + f" {insults[i % 3]} " + line(3) for i in range(90)]
     machine = toxicity.train([(t, 0) for t in clean] + [(t, 1) for t in toxic])
-    bad = machine.score(["such a moron here.", "such a morxon here.", "such a m o r o n here.", "such a mo-ron here.", "what an idi.ot he is"])
-    good = machine.score(["the people walked fine.", "", None, "a morning along the river"])
-    assert bad.min() > good.max()
+    bad = machine.score(["ta neta moron here.", "ta neta morxon here.", "ta neta m o r o n here.", "ta mo-ron neta.", "ta ne idi.ot ve"])
+    good = machine.score(["ta neta roli kasu.", "", None, "neta morta kasu"])
+    assert bad.min() > good.max() and bad.min() > 0.5 > good.max()
 
 
 def test_op3(spark, docs):
@@ -314,7 +319,7 @@ def test_op8(spark, docs, texts):
         assert r.taken in (0, size[d], 2 * size[d])
         got[source[d]] += r.taken
     for s in total:
-        assert abs(got[s] - goal[s]) <= 0.01 * goal[s] + 5, s
+        assert abs(got[s] - goal[s]) <= 0.005 * goal[s] + 5, s
     again = {r.doc_id: r for r in QUERIES["op8_mixing"](spark, SF).collect()}
     assert rows == again
 
