@@ -175,3 +175,20 @@ def count_extxyz(spark: SparkSession, path: str) -> int:
         return read_extxyz(spark, path).count()
     except AnalysisException:
         return 0
+
+
+def scan_folder(spark: SparkSession, path: str, suffixes: tuple[str, ...] = (".cif", ".vasp", ".xyz"), prefixes: tuple[str, ...] = ("POSCAR", "CONTCAR")) -> DataFrame:
+    """path, name and length of structure files by suffix or prefix, in order of name; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length", F.element_at(F.split("path", "/"), -1).alias("name"))
+    wanted = F.lit(False)
+    for s in suffixes:
+        wanted |= F.lower("name").endswith(s)
+    for s in prefixes:
+        wanted |= F.col("name").startswith(s)
+    return files.where(wanted).orderBy("name")
+
+
+def select_blocks(spark: SparkSession, path: str, selected: DataFrame) -> DataFrame:
+    """structure_id and value: the descriptor blocks of selected(structure_id), with their `#start` lines."""
+    rows = blocks(spark, path, "#start", "\n").where(F.trim("block").rlike(r"^\d+"))
+    return rows.join(selected.select("structure_id").distinct(), "structure_id", "left_semi").select("structure_id", F.concat(F.lit("#start"), F.regexp_replace("block", r"\s+$", "")).alias("value"))
