@@ -63,7 +63,8 @@ def greedy(class_id: np.ndarray, rank: np.ndarray) -> list[int]:
 
 def min_cover(memberships: DataFrame, local_pairs: int = LOCAL_PAIRS) -> DataFrame:
     """structure_id, freq and rank of the structures picked. memberships: class_seq, structure_id, atom_idx."""
-    ranked = cover_rank(memberships).select("structure_id", "freq", "rank")
+    memberships = memberships.select("class_seq", "structure_id", "atom_idx").persist()  # read three times below; spills to disk
+    ranked = cover_rank(memberships).select("structure_id", "freq", "rank").persist()
     pairs = memberships.select("class_seq", "structure_id").distinct().join(ranked, "structure_id").select("class_seq", "rank")
     if pairs.count() <= local_pairs:
         def solve(pdf: pd.DataFrame) -> pd.DataFrame:
