@@ -54,6 +54,15 @@ def printer(words: int, seed: int) -> Callable[[Iterator[pa.RecordBatch]], Itera
     return prints
 
 
+def row_printer(words: int, seed: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = np.array([fingerprint(x.as_py() or "", words, seed) for x in batch.column(2)], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps.view(np.int64))], names=["row", "id", "fp"])
+
+    return prints
+
+
 def fingerprints(docs: DataFrame, words: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """doc_id and fp (the fingerprint as a signed long) of docs(doc_id, text)."""
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(printer(words, seed), "doc_id long, fp long")
@@ -106,9 +115,20 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE, seed: int = SEED) ->
 
 
 def keep_first(docs: DataFrame, words: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """docs with one row of each component: a row of its smallest doc_id; of repeated rows of that id, one."""
-    found = near_duplicates(docs, words, seed).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(found, "doc_id", "left_semi")
-    # ids should be unique; where one repeats, its rows are few enough to be ordered together
-    order = [F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])]
-    return kept.withColumn("__lacuna_row", F.row_number().over(Window.partitionBy("doc_id").orderBy(*order))).where("__lacuna_row = 1").drop("__lacuna_row")
+    """docs with one row of each component of fingerprints: that of the smallest doc_id, null ids last, then of the smallest
+    hash of the row. Ids only order rows: rows of a null or repeated id go only if they are near-duplicates of a kept one."""
+    row = [F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])]
+    prints = cut(docs.select(row[0].alias("row"), F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string")).mapInArrow(row_printer(words, seed), "row long, id long, fp long"))
+    roots = components(link_fingerprints(prints.select(F.col("fp").alias("rep"), "fp").distinct())).select(F.col("node").alias("fp"), "root")
+    rows = prints.join(roots, "fp", "left").select(F.coalesce("root", "fp").alias("root"), "id", "row")
+    return first_rows(docs, row[0], rows)
+
+
+def first_rows(docs: DataFrame, row: Column, rows: DataFrame) -> DataFrame:
+    """docs with the first row of each root of rows(root, id, row); equal rows count once."""
+    first = rows.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("no"), "id", "row")).alias("__lacuna_first"))
+    found = first.select(F.col("__lacuna_first.row").alias("__lacuna_key")).distinct()
+    kept = docs.withColumn("__lacuna_key", row).join(found, "__lacuna_key", "left_semi")
+    # equal rows have equal keys; each task leaves one of them before they meet
+    kept = kept.withColumn("__lacuna_row", F.row_number().over(Window.partitionBy("__lacuna_key").orderBy("__lacuna_key")))
+    return kept.where("__lacuna_row = 1").select(*[F.col(f"`{c}`") for c in docs.columns])

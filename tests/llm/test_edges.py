@@ -87,6 +87,13 @@ def test_simhash(docs, empty):
     assert not {2, 4} & {r.doc_id for r in kept.collect()}
 
 
+def test_near_duplicates_keep_rows_without_own_id(spark):
+    texts = ["one two three four five", "six seven eight nine ten", "red green blue white black", "up down left right middle"]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (5, texts[2]), (5, texts[3]), (6, texts[3]), (None, texts[3])]
+    kept = simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted([(None, texts[0]), (None, texts[1]), (5, texts[2]), (5, texts[3])], key=str)
+
+
 def test_mixing(docs, empty):
     mixed = mixing.mix(docs)
     assert mixed.columns == [*docs.columns, mixing.MIX] and mixed.count() == len(ROWS)
