@@ -9,6 +9,12 @@ and all that share one are within 2 bits of each other, so each is linked to the
 distance is counted. Every step is linear in the number of different fingerprints: no pairs within a cell are emitted,
 however many fingerprints a cell has. Exact copies are one fingerprint, hence one row, before the grid.
 
+The near-duplicate stage (`keep_first`) links texts by the Jaccard similarity of their shingle sets instead, SIMILAR or more
+of WORDS words. Such texts differ in some ten bits and more, too many for a join on bits, so that candidates are texts that
+share one of BANDS bands of HASHES least hashes, and each candidate pair's sets are compared. Bands of up to SMALL texts give
+all their pairs; in larger ones texts are compared with centres, those that share most bands, and leave once linked, with
+twice as many centres each round, until what is left is small.
+
 Defined results: null and empty texts have fingerprint zero, which links like any other; repeated rows get equal rows;
 an empty table gives no rows; other columns of the input are ignored.
 """
@@ -26,6 +32,9 @@ from lacuna.llm.common import components, cut
 
 SHINGLE = 3
 SEED = 42
+#: The near-duplicate stage: words of a shingle and least similarity. A pair at it shares no band in 0.07 % of cases.
+WORDS, SIMILAR = 5, 0.8
+BANDS, HASHES, SMALL = 24, 6, 16
 
 
 def fingerprint(text: str, words: int = SHINGLE, seed: int = SEED) -> int:
@@ -54,15 +63,6 @@ def printer(words: int, seed: int) -> Callable[[Iterator[pa.RecordBatch]], Itera
     return prints
 
 
-def row_printer(words: int, seed: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fps = np.array([fingerprint(x.as_py() or "", words, seed) for x in batch.column(2)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps.view(np.int64))], names=["row", "id", "fp"])
-
-    return prints
-
-
 def fingerprints(docs: DataFrame, words: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """doc_id and fp (the fingerprint as a signed long) of docs(doc_id, text)."""
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(printer(words, seed), "doc_id long, fp long")
@@ -114,14 +114,113 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE, seed: int = SEED) ->
     return prints.join(of, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_first(docs: DataFrame, words: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """docs with one row of each component of fingerprints: that of the smallest doc_id, null ids last, then of the smallest
+def stirred(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(29))
+
+
+def shingle_set(text: str, words: int, seed: int) -> np.ndarray:
+    """The different hashes of a text's shingles, in order; fewer words than `words` are one shingle."""
+    from xxhash import xxh64_intdigest
+
+    parts = text.encode("utf-8", "surrogatepass").lower().split()
+    if not parts:
+        return np.zeros(0, np.uint64)
+    h = np.array([xxh64_intdigest(x, seed) for x in parts], dtype=np.uint64)
+    size = min(words, len(h))
+    out = np.zeros(len(h) - size + 1, np.uint64)
+    for k in range(size):
+        out = stirred(out * np.uint64(0x9E3779B97F4A7C15) + h[k : len(h) - size + 1 + k])
+    return np.unique(out)
+
+
+def bands_of(hashes: np.ndarray, seed: int) -> np.ndarray:
+    """A hash of each band of least hashes of a set; an empty set has none."""
+    if not len(hashes):
+        return np.zeros(0, np.int64)
+    rng = np.random.default_rng(seed)
+    add, times = rng.integers(0, 1 << 63, (2, BANDS * HASHES), dtype=np.uint64)
+    least = np.full(BANDS * HASHES, np.iinfo(np.uint64).max)
+    for at in range(0, len(hashes), 4096):
+        mixed = (hashes[None, at : at + 4096] ^ add[:, None]) * (times[:, None] | np.uint64(1))
+        least = np.minimum(least, mixed.min(axis=1))
+    out = np.arange(1, BANDS + 1, dtype=np.uint64)
+    for k in range(HASHES):
+        out = stirred(out * np.uint64(0x9E3779B97F4A7C15) + least[k::HASHES])
+    return out.view(np.int64)
+
+
+def setter(words: int, seed: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh64_intdigest
+
+        for batch in batches:
+            for at in range(0, len(batch), 256):
+                part = batch.slice(at, 256)
+                found = [shingle_set(x or "", words, seed) for x in part.column(2).to_pylist()]
+                nodes = np.array([xxh64_intdigest(x.tobytes(), seed) for x in found], dtype=np.uint64).view(np.int64)
+                bands = pa.array([bands_of(x, seed) for x in found], pa.list_(pa.int64()))
+                short = pa.array([np.unique((x >> np.uint64(32)).astype(np.uint32)).view(np.int32) for x in found], pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(nodes), bands, short], names=["row", "id", "node", "bands", "shingles"])
+
+    return sets
+
+
+def verified(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
+    """The pairs (a, b) of sets(node, shingles) with a Jaccard similarity of `similar` or more."""
+    side = lambda n: sets.select(F.col("node").alias(n), F.col("shingles").alias(f"of_{n}"))
+    both = F.size(F.array_intersect("of_a", "of_b"))
+    found = pairs.join(side("a"), "a").join(side("b"), "b")
+    return found.where(both >= similar * (F.size("of_a") + F.size("of_b") - both)).select("a", "b")
+
+
+def link_sets(sets: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """Edges (a, b) between nodes of sets(node, bands, shingles), one row for each node, that are similar and share a band."""
+    members = sets.select("node", F.explode("bands").alias("band"))
+
+    def shared(rows: DataFrame) -> DataFrame:
+        n = rows.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+        return rows.join(n, "band")
+
+    members = cut(shared(members))
+    sets = sets.join(members.select("node").distinct(), "node", "left_semi").select("node", "shingles")
+    # texts at the middle of a group share more bands, with more others, than those at its edge
+    weight = members.groupBy("node").agg(F.sum("n").alias("w"))
+    members = cut(members.join(weight, "node"))
+    links, centres = [], 1
+    while True:
+        few = members.where(F.col("n") <= SMALL).groupBy("band").agg(F.array_sort(F.collect_set("node")).alias("x"))
+        pairs = few.select(F.explode(F.flatten(F.transform("x", lambda b, i: F.transform(F.slice("x", F.lit(1), i), lambda a: F.struct(a.alias("a"), b.alias("b")))))).alias("p")).select("p.*").distinct()
+        links.append(cut(verified(pairs, sets, similar)))
+        members = members.where(F.col("n") > SMALL)
+        if members.isEmpty():
+            break
+        order = Window.partitionBy("band").orderBy((-F.col("w")), "node")
+        heads = cut(members.withColumn("r", F.row_number().over(order)).where(F.col("r") <= centres).select("band", F.col("node").alias("b")))
+        beside = members.join(heads, "band").where(F.col("node") != F.col("b")).select("band", F.col("node").alias("a"), "b")
+        ordered = beside.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        new = cut(verified(ordered, sets, similar))
+        links.append(new)
+        either = new.union(new.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        gone = beside.join(either, ["a", "b"], "left_semi").select("band", F.col("a").alias("node")).union(heads.select("band", F.col("b").alias("node"))).distinct()
+        members = cut(shared(members.drop("n").join(gone, ["band", "node"], "left_anti")).select("band", "node", "n", "w"))
+        centres *= 2
+    out = links[0]
+    for x in links[1:]:
+        out = out.union(x)
+    return out.distinct()
+
+
+def keep_first(docs: DataFrame, words: int = WORDS, similar: float = SIMILAR, seed: int = SEED) -> DataFrame:
+    """docs with one row of each component of similar texts: that of the smallest doc_id, null ids last, then of the smallest
     hash of the row. Ids only order rows: rows of a null or repeated id go only if they are near-duplicates of a kept one."""
-    row = [F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])]
-    prints = cut(docs.select(row[0].alias("row"), F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string")).mapInArrow(row_printer(words, seed), "row long, id long, fp long"))
-    roots = components(link_fingerprints(prints.select(F.col("fp").alias("rep"), "fp").distinct())).select(F.col("node").alias("fp"), "root")
-    rows = prints.join(roots, "fp", "left").select(F.coalesce("root", "fp").alias("root"), "id", "row")
-    return first_rows(docs, row[0], rows)
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(row.alias("row"), F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string"))
+    prints = cut(rows.mapInArrow(setter(words, seed), "row long, id long, node long, bands array<long>, shingles array<int>"))
+    sets = prints.dropDuplicates(["node"]).select("node", "bands", "shingles")
+    roots = components(link_sets(sets, similar)).select("node", "root")
+    rows = prints.select("row", "id", "node").join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "id", "row")
+    return first_rows(docs, row, rows)
 
 
 def first_rows(docs: DataFrame, row: Column, rows: DataFrame) -> DataFrame:

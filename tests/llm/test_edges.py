@@ -2,6 +2,7 @@
 
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,6 +95,24 @@ def test_near_duplicates_keep_rows_without_own_id(spark):
     assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted([(None, texts[0]), (None, texts[1]), (5, texts[2]), (5, texts[3])], key=str)
 
 
+def test_near_duplicates_by_similarity(spark):
+    """Copies of a text with some edited words go, though they differ in more than two bits; other texts stay."""
+    rng = np.random.default_rng(3)
+    word = lambda: f"w{rng.integers(5000)}"
+    base = [[word() for _ in range(300)] for _ in range(3)]
+
+    def edited(words, n):
+        at = set(rng.choice(300, n, replace=False).tolist())
+        return " ".join(word() if i in at else w for i, w in enumerate(words))
+
+    texts = [" ".join(b) for b in base] + [edited(b, 5) for b in base for _ in range(30)] + [edited(base[0], 100)]
+    sets = [simhash.shingle_set(t, 5, 42) for t in texts]
+    alike = [len(np.intersect1d(sets[3 + i], sets[i // 30])) / len(np.union1d(sets[3 + i], sets[i // 30])) for i in range(90)]
+    assert min(alike) >= 0.8
+    kept = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "")
+    assert {r.doc_id for r in kept.collect()} == {0, 1, 2, 93}
+
+
 def test_mixing(docs, empty):
     mixed = mixing.mix(docs)
     assert mixed.columns == [*docs.columns, mixing.MIX] and mixed.count() == len(ROWS)
