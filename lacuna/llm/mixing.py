@@ -3,12 +3,14 @@
 Targets: sources, by code point with null last, weigh WEIGHTS in turn and share SHARE times all words; no source gets more
 than MOST times its words, what it would get beyond goes to the others by weight. Every document of a source first gets
 the target's whole copies. What is left is sampled without replacement at a fixed size, counted in words: documents are
-ranked by Pareto order, the random odds u / (1 - u) over the inclusion odds p / (1 - p), and taken in that order while the
-words fit; then up to EXTRAS documents of the rest whose sizes fill what is still missing most nearly.
+ranked by Pareto order, the random odds u / (1 - u) over the inclusion odds p / (1 - p), and taken in that order if their
+words fit what is still missing; those that do not are passed over, until no document of the rest fits. One more that does not
+fit is taken if it comes nearer to the target.
 u is a hash of the id and the seed, so reruns agree.
 
-Within a source the order is that of u. Sums over BUCKETS ranges of u, a bounded number for each source, tell in which
-range the sample ends, and only the rows of that range are ordered: a source with a third of all rows is never in one
+Within a source the order is that of u. A round takes documents no larger than what is missing up to the first that does not
+fit, where the next round starts with less missing. Sums over BUCKETS ranges of u, a bounded number for each source, tell in
+which range a round ends, and only the rows of that range are ordered: a source with a third of all rows is never in one
 task. The driver gets one row for each source and refuses more than MAX_SOURCES.
 
 Defined results: null and empty texts have size 0 and take 0 words; repeated rows of one id and size are taken or left
@@ -25,7 +27,6 @@ from lacuna.llm.common import SPACE, cut
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2
 SEED = 20
 BUCKETS = 4096
-EXTRAS = 3
 MAX_SOURCES = 100_000
 #: One column added to a table whose other columns must pass through.
 MIX = "__lacuna_mix"
@@ -81,39 +82,47 @@ def pareto_key(u, p, doc_id, size):
 
 
 def sample_ends(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """For each source: the range of u in which its sample ends (`end`), the last key taken there (`last`), and the keys of
-    the few documents taken beyond it (`extras`). rows: source, size, id, u, bucket."""
-    none = plan.select("source", "need", "p").where("p > 0")
-    ordered = with_sources(rows, none).withColumn("key", pareto_key(F.col("u"), F.col("p"), F.col("id"), F.col("size")))
-    sums = ordered.groupBy("source", "bucket", "need").agg(F.sum("size").alias("n"))
-    sums = sums.withColumn("upto", F.sum("n").over(Window.partitionBy("source").orderBy("bucket"))).where("upto > need")
-    ends = sums.groupBy("source").agg(F.min(F.struct(F.col("bucket").alias("end"), (F.col("upto") - F.col("n")).alias("before"))).alias("e"))
-    ends = cut(ends.select("source", "e.*"))
-    running = F.sum("size").over(Window.partitionBy("source").orderBy("key")) + F.col("before")
-    last = with_sources(ordered, ends).where("bucket = end").withColumn("taken", running).where("taken <= need")
-    last = last.groupBy("source").agg(F.max("key").alias("last"), F.max("taken").alias("taken"))
+    """For each source with words to sample: the stretches of the Pareto order that it takes (after, last, most: documents
+    between these keys of at most so many words) and the key of a document taken beyond them (`extra`). rows: source, size, id,
+    u, bucket."""
 
     def beside(left: DataFrame, right: DataFrame) -> DataFrame:
         side = F.broadcast(right.withColumnRenamed("source", "of_source"))
         return left.join(side, F.col("source").eqNullSafe(F.col("of_source")), "left").drop("of_source")
 
-    ends = cut(beside(ends, last).select("source", "end", "last", F.coalesce("taken", "before").alias("taken")))
-    tail = with_sources(ordered, ends.drop("taken")).where("bucket > end or (bucket = end and (last is null or key > last))")
-    ends = ends.withColumn("extras", F.array().cast(key_type(ordered)))
-    for k in range(EXTRAS):
-        # first the largest document that still fits, then the one that comes nearest, if it makes the rest smaller
-        state = ends.select("source", "taken", "extras")
-        fits = with_sources(tail, state).withColumn("missing", F.col("need") - F.col("taken")).where("size > 0 and not array_contains(extras, key)")
-        off = F.abs(F.col("size") - F.col("missing"))
-        fits = fits.where(F.col("size") <= F.col("missing")) if k < EXTRAS - 1 else fits.where(off < F.col("missing"))
-        best = fits.groupBy("source").agg(F.min_by(F.struct("key", "size"), F.struct(off, "key")).alias("best"))
-        more = F.when(F.col("best").isNotNull(), F.array("best.key")).otherwise(F.array().cast(key_type(ordered)))
-        ends = cut(beside(ends, best).select("source", "end", "last", (F.col("taken") + F.coalesce("best.size", F.lit(0))).alias("taken"), F.concat("extras", more).alias("extras")))
-    return ends.select("source", "end", "last", "extras")
-
-
-def key_type(ordered: DataFrame) -> str:
-    return f"array<{ordered.schema['key'].dataType.simpleString()}>"
+    ordered = with_sources(rows, plan.select("source", "p").where("p > 0"))
+    ordered = ordered.select("source", "bucket", "size", pareto_key(F.col("u"), F.col("p"), F.col("id"), F.col("size")).alias("key"))
+    key = ordered.schema["key"].dataType.simpleString()
+    none = F.lit(None).cast(key)
+    state = plan.where("p > 0").select("source", F.col("need").alias("missing"), none.alias("after"), F.array().cast(f"array<struct<after:{key},last:{key},most:double>>").alias("stretches"))
+    tail = ordered
+    while True:
+        fits = with_sources(tail, state.select("source", "missing"))
+        sums = fits.groupBy("source", "bucket", "missing").agg(F.sum("size").alias("n"))
+        sums = sums.withColumn("upto", F.sum("n").over(Window.partitionBy("source").orderBy("bucket"))).where("upto > missing")
+        ends = sums.groupBy("source").agg(F.min(F.struct(F.col("bucket").alias("end"), (F.col("upto") - F.col("n")).alias("before"))).alias("e"))
+        marked = beside(fits, cut(ends.select("source", "e.*")))
+        whole = marked.where("end is null or bucket < end").groupBy("source").agg(F.max("key").alias("last"), F.sum("size").alias("taken"))
+        running = F.sum("size").over(Window.partitionBy("source").orderBy("key")) + F.col("before")
+        part = marked.where("bucket = end").withColumn("taken", running).where("taken <= missing")
+        part = part.groupBy("source").agg(F.max("key").alias("last"), F.max("taken").alias("taken"))
+        last = whole.union(part).groupBy("source").agg(F.max("last").alias("last"), F.max("taken").alias("taken"))
+        more = F.when(F.col("last").isNotNull(), F.array(F.struct("after", "last", F.col("missing").alias("most")))).otherwise(F.array())
+        state = cut(beside(state, last).select("source", (F.col("missing") - F.coalesce("taken", F.lit(0))).alias("missing"), F.coalesce("last", "after").alias("after"), F.concat("stretches", more).alias("stretches")))
+        tail = with_sources(tail, state.select("source", "missing", "after")).where("size > 0 and size <= missing and (after is null or key > after)")
+        tail = cut(tail.select("source", "bucket", "size", "key"))
+        if tail.isEmpty():
+            break
+    left = with_sources(ordered, state).where("size < 2 * missing").where(~taken_in(F.col("stretches"), F.col("key"), F.col("size")))
+    extra = left.groupBy("source").agg(F.min_by("key", F.struct(F.abs(F.col("size") - F.col("missing")), "key")).alias("extra"))
+    extra = extra.select("source", "extra")
+    return beside(state, extra).select("source", "stretches", "extra")
+
+
+def taken_in(stretches, key, size):
+    """Whether a stretch has a document of this key and size."""
+    within = lambda x: (x["after"].isNull() | (key > x["after"])) & (key <= x["last"]) & (size <= x["most"])
+    return F.coalesce(F.exists(stretches, within), F.lit(False))
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED) -> DataFrame:
@@ -127,7 +136,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     out = measured(docs, seed).join(F.broadcast(by_source), F.col(f"{MIX}.source").eqNullSafe(F.col("__lacuna_plan.source")))
     row, of = (lambda c: F.col(f"{MIX}.{c}")), (lambda c: F.col(f"__lacuna_plan.{c}"))
     key = pareto_key(row("u"), of("p"), row("id"), row("size"))
-    within = of("end").isNull() | (row("bucket") < of("end")) | ((row("bucket") == of("end")) & F.coalesce(key <= of("last"), F.lit(False))) | F.coalesce(F.array_contains(of("extras"), key), F.lit(False))
+    within = taken_in(of("stretches"), key, row("size")) | F.coalesce(key == of("extra"), F.lit(False))
     copies = of("whole") + ((of("p") > 0) & within).cast("int")
     found = F.struct(row("size").alias("size"), of("source_size").alias("source_size"), of("target").alias("target"), copies.alias("copies"), (copies * row("size")).alias("taken"))
     return out.withColumn(MIX, found).drop("__lacuna_plan")

@@ -121,6 +121,14 @@ def test_mixing(docs, empty):
     assert mixing.mix(empty).count() == 0 and mixing.repeat(empty).count() == 0
 
 
+def test_mixing_passes_over_what_does_not_fit(spark):
+    """Long documents anywhere in a source do not keep the short ones from filling its target."""
+    for first in (0, 10_000, 20_000):
+        rows = [(first + i, "w " * (20_000 if i % 300 == 7 else 10 + i % 90), "a") for i in range(1500)]
+        taken, goal = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).select(F.sum(f"{mixing.MIX}.taken"), F.max(f"{mixing.MIX}.target")).first()
+        assert abs(taken - goal) <= 5, (first, taken, goal)
+
+
 def test_secrets(docs, empty):
     rows = secrets.scan(docs).collect()
     assert len(rows) == len(ROWS)
