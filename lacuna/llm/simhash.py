@@ -175,15 +175,15 @@ def verified(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
 
 
 def link_sets(sets: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """Edges (a, b) between nodes of sets(node, bands, shingles), one row for each node, that are similar and share a band."""
-    members = sets.select("node", F.explode("bands").alias("band"))
+    """Edges (a, b) between nodes of sets(node, bands, shingles) that are similar and share a band; rows of a node are equal."""
+    members = sets.select("node", F.explode("bands").alias("band")).distinct()
 
     def shared(rows: DataFrame) -> DataFrame:
         n = rows.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
         return rows.join(n, "band")
 
     members = cut(shared(members))
-    sets = sets.join(members.select("node").distinct(), "node", "left_semi").select("node", "shingles")
+    sets = cut(sets.select("node", "shingles").join(members.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]))
     # texts at the middle of a group share more bands, with more others, than those at its edge
     weight = members.groupBy("node").agg(F.sum("n").alias("w"))
     members = cut(members.join(weight, "node"))
@@ -217,8 +217,7 @@ def keep_first(docs: DataFrame, words: int = WORDS, similar: float = SIMILAR, se
     row = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
     rows = docs.select(row.alias("row"), F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string"))
     prints = cut(rows.mapInArrow(setter(words, seed), "row long, id long, node long, bands array<long>, shingles array<int>"))
-    sets = prints.dropDuplicates(["node"]).select("node", "bands", "shingles")
-    roots = components(link_sets(sets, similar)).select("node", "root")
+    roots = components(link_sets(prints, similar)).select("node", "root")
     rows = prints.select("row", "id", "node").join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "id", "row")
     return first_rows(docs, row, rows)
 
