@@ -38,6 +38,9 @@ PRE_TOKEN = re.compile(r"[A-Za-zªµºÀ-ÖØ-öø-ÿ]+|[0-9²³¹¼-¾]|[^A-Za-
 #: White space to str.split() but not to the tokenizer's pattern.
 SPLIT_ONLY = re.compile("[\x1c-\x1f]")
 
+#: Pre-tokens on which the merger must agree with the tokenizer's model before it is used.
+PROBES = ("a", "the", "training", "Ünïcode".lower(), "antidisestablishmentarianism", "!!", "...", "zqxj", "7", "été")
+
 
 def byte_letters() -> list[str]:
     """The letter that byte-level vocabularies write for each byte: itself if it prints, else the next from 256 up."""
@@ -58,22 +61,28 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
+        specials = sorted((t.content for t in self.whole.get_added_tokens_decoder().values()), key=lambda t: (-len(t), t))
+        #: Texts of these, which are one id each wherever they stand, go through the tokenizer whole.
+        self.special = re.compile("|".join(map(re.escape, specials)), re.IGNORECASE) if specials else None
         self.part = self.merger(path)
+        self.part = self.part if all(self.agrees(x) for x in PROBES) else self.model_part
         self.memo: dict[str, bytes] = {}
 
+    letters = byte_letters()
+
     def merger(self, path: str) -> Callable[[str], list[int]]:
         """ids of one pre-token. Where ids follow the order of the merges, they serve as ranks of a byte-pair merger, in
         which the byte 255, never part of UTF-8, stands for the end of a word; else the tokenizer's own model is used."""
         with open(path, encoding="utf-8") as file:
             model = json.load(file)["model"]
-        letters, vocabulary, end = byte_letters(), model["vocab"], model["end_of_word_suffix"] or ""
+        letters = self.letters
+        vocabulary, end = model["vocab"], model["end_of_word_suffix"] or ""
         byte = {letter: b for b, letter in enumerate(letters)}
         special = {t.content for t in self.whole.get_added_tokens_decoder().values()}
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         after = sorted(vocabulary[x] for x in letters + [x + end for x in letters])
         if not end or after != list(range(512)) or any(vocabulary[a + b] != 512 + i for i, (a, b) in enumerate(merges)) or len({a + b for a, b in merges}) < len(merges) or min(vocabulary[x + end] for x in letters) != 256:
-            return lambda part: [t.id for t in self.whole.model.tokenize("".join([letters[b] for b in part.encode()]))]
+            return self.model_part
         import tiktoken
 
         def plain(token: str) -> bytes:
@@ -84,6 +93,13 @@ class WordTokenizer:
         merge = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
         return lambda part: merge(part.encode() + b"\xff")
 
+    def model_part(self, part: str) -> list[int]:
+        return [t.id for t in self.whole.model.tokenize("".join([self.letters[b] for b in part.encode()]))]
+
+    def agrees(self, part: str) -> bool:
+        """Whether the merger gives a pre-token the ids that the tokenizer's model gives it."""
+        return list(self.part(part)) == self.model_part(part)
+
     def word(self, word: str) -> bytes:
         if PLAIN.fullmatch(word):
             ids = array("I")
@@ -96,7 +112,7 @@ class WordTokenizer:
         return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __call__(self, text: str) -> bytes:
-        if SPLIT_ONLY.search(text):
+        if SPLIT_ONLY.search(text) or (self.special and self.special.search(text)):
             return self.full(text)
         words, memo = text.split(), self.memo
         if len(memo) > MEMO_WORDS:
