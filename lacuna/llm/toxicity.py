@@ -139,8 +139,6 @@ class Machine:
 
     def values(self, texts: list[str | None]) -> np.ndarray:
         """The value of the worst sentence of each text."""
-        if self.kernel is None:
-            return np.full(len(texts), -np.inf)
         tokens = [sentences(x or "") for x in texts]
         if new := [w for w in dict.fromkeys(w for t in tokens for w in t) if w not in self.memo]:
             self.learn(new)
@@ -156,6 +154,8 @@ class Machine:
         return out
 
     def score(self, texts: list[str | None]) -> np.ndarray:
+        if self.kernel is None:
+            return np.zeros(len(texts))
         return 1 / (1 + np.exp(-np.clip(self.slope * self.values(texts) + self.shift, -30, 30)))
 
 
