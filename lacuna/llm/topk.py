@@ -1,16 +1,18 @@
 """Exact top-k search by inner product over norm-bucketed vectors.
 
-Vectors become integers, floor(SCALE * x). They are grouped by length into buckets of like length (ratio RATIO), and these
-into chunks of about CHUNK vectors, sorted by length. Queries go in blocks to every chunk. A first pass over each block's
-longest chunk gives every query a score that its k-th best reaches at least; with the chunk's greatest length, that score
-is a local threshold of the cosine. Above 1 the chunk is passed over; high thresholds prune by coordinates (on the FOCUS
-largest coordinates of the query, a candidate must lie within the range that the threshold leaves), low ones by length
-(shorter vectors cannot reach the score). The products of the rest are verified as integers; bounds keep equal scores.
-
-Defined results: vectors that are null or empty, or hold null or non-finite components, take no part; components beyond
-2**27 after scaling count as that; vectors of different lengths do not meet; rows of the query's own id are left out, and
-a repeated query id is one query; fewer than k candidates give fewer rows; an empty table gives none; other columns are
-ignored.
+Vectors become integers, floor(SCALE * x), carried as doubles, which hold them exactly. They are grouped by length into
+buckets of like length (ratio RATIO), and these into chunks of about CHUNK vectors, sorted by length. Queries go in blocks.
+A first pass over the longest chunk gives every query a score that its k-th best reaches at least. A block goes only to
+chunks whose greatest length can reach the score of one of its queries; that is told from a few numbers for each block and
+chunk, before vectors move. Within a chunk, the score is a local threshold of the cosine. Above 1 the chunk is passed over;
+high thresholds prune by coordinates (on the FOCUS largest coordinates of the query, a candidate must lie within the range
+that the threshold leaves), low ones by length (shorter vectors cannot reach the score). The products of the rest are
+verified as integers: in doubles where no sum can pass 2**52, else in 64-bit or unbounded integers; bounds keep equal scores.
+
+Defined results: vectors that are null, or hold null or non-finite components, or overflow a double when scaled, take no
+part; scores beyond a long count as the nearest long; vectors of different sizes do not meet, empty ones do and score 0;
+rows of the query's own id are left out, and a repeated query id is one query; fewer than k candidates give fewer rows; an
+empty table gives none; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,13 +31,41 @@ SCALE, K = 256, 5
 RATIO = 0.9
 CHUNK, QUERY_BLOCK = 4096, 1024
 FOCUS, COORDINATES_FROM = 3, 0.35
-LARGEST = 1 << 27
-NONE = -(1 << 63)
+NONE, MOST = -(1 << 63), (1 << 63) - 1
+#: From here on doubles are whole numbers; floor() returns longs, so larger ones must not go through it.
+WHOLE = 2.0**52
 
 
 def integers(vector: str, scale: int) -> Column:
-    scaled = F.transform(F.col(vector).cast("array<double>"), lambda x: F.floor(F.greatest(F.least(x * float(scale), F.lit(float(LARGEST))), F.lit(-float(LARGEST)))).cast("long"))
-    return scaled
+    """floor(scale * x) as doubles."""
+
+    def whole(x: Column) -> Column:
+        y = x.cast("double") * float(scale)
+        return F.when(F.abs(y) < WHOLE, F.floor(y).cast("double")).otherwise(y)
+
+    return F.transform(F.col(vector).cast("array<double>"), whole)
+
+
+def products(c: np.ndarray, q: np.ndarray, largest: float) -> np.ndarray:
+    """Inner products of the rows of c with q, whole numbers in doubles of at most `largest`, as longs."""
+    bound = largest * float(np.abs(q).max(initial=0)) * max(1, len(q))
+    if bound < WHOLE:
+        return (c @ q).astype(np.int64)
+    if bound < 2.0**62:
+        return c.astype(np.int64) @ q.astype(np.int64)
+    numbers = [int(x) for x in q]
+    exact = [sum(int(x) * y for x, y in zip(row, numbers, strict=True)) for row in c.tolist()]
+    return np.array([min(max(x, NONE), MOST) for x in exact], dtype=np.int64)
+
+
+def lengths_of(v: np.ndarray) -> np.ndarray:
+    """Euclidean lengths, without overflow."""
+    top = np.abs(v).max(axis=1, initial=0)
+    return top * np.linalg.norm(v / np.maximum(top, 1e-300)[:, None], axis=1)
+
+
+PACKED = ("ids", "vs", "thetas", "longest", "reach")
+PACKED_TYPES = "ids binary, vs binary, thetas binary, longest double, reach double"
 
 
 def packer() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -49,12 +79,16 @@ def packer() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
             for k in range(len(batch)):
                 flat = rows[k].values
                 ids, theta = (flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("vec_id", "theta"))
-                v = flat.field("v").flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(ids), -1)
-                order = np.lexsort((ids, -np.linalg.norm(v.astype(np.float64), axis=1)))
-                out.append((ids[order].tobytes(), v[order].tobytes(), theta[order].tobytes()))
-            packed = [pa.array(x, pa.binary()) for x in zip(*out, strict=True)] if out else [pa.array([], pa.binary())] * 3
+                v = flat.field("v").flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
+                lengths = lengths_of(v)
+                order = np.lexsort((ids, -lengths))
+                # the least length of a partner with which one of these vectors can reach its theta
+                reach = np.where(theta > 0, theta / np.maximum(lengths, 1.0) * (1 - 1e-9), 0.0).min(initial=np.inf)
+                out.append((ids[order].tobytes(), v[order].tobytes(), theta[order].tobytes(), float(lengths.max(initial=0)), float(reach)))
+            kinds = [pa.binary()] * 3 + [pa.float64()] * 2
+            packed = [pa.array(x, k) for x, k in zip(zip(*out, strict=True) if out else [[]] * 5, kinds, strict=True)]
             keep = [n for n in names if n != "rows"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(names.index(n)) for n in keep), *packed], names=[*keep, "ids", "vs", "thetas"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(names.index(n)) for n in keep), *packed], names=[*keep, *PACKED])
 
     return pack
 
@@ -84,11 +118,10 @@ def searcher(k: int, dim_column: int = 0) -> Callable[[Iterator[pa.RecordBatch]]
         for batch in batches:
             for row in range(len(batch)):
                 dim, *raw = (c[row].as_py() for c in batch.columns)
-                q_ids, q, theta, ids, c = (np.frombuffer(x, dtype=np.int64) for x in raw)
-                q, c = q.reshape(-1, dim), c.reshape(-1, dim)
-                safe = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * dim < 2.0**52
-                exact = c.astype(np.float64) if safe else c
-                lengths, q_lengths = np.linalg.norm(c.astype(np.float64), axis=1), np.linalg.norm(q.astype(np.float64), axis=1)
+                q_ids, q, theta, ids, c = (np.frombuffer(x, dtype=kind) for x, kind in zip(raw, (np.int64, np.float64, np.int64, np.int64, np.float64), strict=True))
+                q, c = q.reshape(len(q_ids), dim), c.reshape(len(ids), dim)
+                largest = float(np.abs(c).max(initial=0))
+                lengths, q_lengths = lengths_of(c), lengths_of(q)
                 units = c / np.maximum(lengths, 1e-300)[:, None]
                 out: list[tuple[int, int, int]] = []
                 for i in range(len(q)):
@@ -96,7 +129,7 @@ def searcher(k: int, dim_column: int = 0) -> Callable[[Iterator[pa.RecordBatch]]
                     if not isinstance(left, slice) and len(left) > len(c) // 2:
                         left = slice(None)  # one product with all costs less than gathering most
                     near = ids[left]
-                    score = (exact[left] @ (q[i].astype(np.float64) if safe else q[i])).astype(np.int64)
+                    score = products(c[left], q[i], largest)
                     fine = (near != q_ids[i]) & (score >= theta[i])
                     near, score = near[fine], score[fine]
                     if len(score) > k:
@@ -122,11 +155,11 @@ def top_k(table: DataFrame, queries: Column, k: int = K, scale: int = SCALE) ->
     """query_id, rank, vec_id and score: the k rows of table(vec_id, embedding) with the highest products with each row that
     `queries` selects, ties to the smaller vec_id."""
     x = F.col("embedding")
-    bad = lambda y: y.isNull() | F.isnan(y) | (F.abs(y) == float("inf"))
-    rows = table.where(F.col("vec_id").isNotNull() & x.isNotNull() & (F.size(x) > 0) & ~F.exists(x, bad))
+    bad = lambda y: y.isNull() | F.isnan(y) | (F.abs(y.cast("double") * float(scale)) == float("inf"))
+    rows = table.where(F.col("vec_id").isNotNull() & x.isNotNull() & ~F.exists(x, bad))
     v = integers("embedding", scale)
     squares = F.aggregate(F.col("v"), F.lit(0.0), lambda a, y: a + y * y)
-    bucket = F.floor(F.log(F.greatest(squares, F.lit(0.25))) / (-2 * math.log(RATIO))).cast("int")
+    bucket = F.floor(F.log(F.least(F.greatest(squares, F.lit(0.25)), F.lit(1e308))) / (-2 * math.log(RATIO))).cast("int")
     rows = rows.select(F.col("vec_id").cast("long"), v.alias("v"), F.coalesce(queries, F.lit(False)).alias("is_query")).withColumns({"dim": F.size("v"), "bucket": bucket})
     rows = cut(rows)
     # at most a few hundred buckets of like length for each vector size
@@ -135,19 +168,22 @@ def top_k(table: DataFrame, queries: Column, k: int = K, scale: int = SCALE) ->
     dealt = rows.join(F.broadcast(cut(sizes)), ["dim", "bucket"])
     own = F.struct("vec_id", "v", F.lit(NONE).cast("long").alias("theta"))
     chunks = dealt.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int")).groupBy("dim", "bucket", "part", "longest").agg(F.collect_list(own).alias("rows"))  # about CHUNK vectors
-    chunks = cut(chunks.mapInArrow(packer(), "dim int, bucket int, part int, longest boolean, ids binary, vs binary, thetas binary"))
+    chunks = cut(chunks.withColumnRenamed("longest", "top").mapInArrow(packer(), "dim int, bucket int, part int, top boolean, " + PACKED_TYPES))
     asked = dealt.where("is_query").dropDuplicates(["vec_id"]).withColumn("block", F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.greatest("q_parts", F.lit(1))).cast("int"))
     chunk_rows = chunks.select("dim", "bucket", "part", F.col("ids").alias("c_ids"), F.col("vs").alias("c_vs"))
 
     def meet(query_rows: DataFrame, some: DataFrame) -> DataFrame:
-        """Each query block meets each chunk of some(dim, bucket, part): the blocks are copied to the chunks' keys."""
+        """Each query block meets each chunk of some(dim, bucket, part, longest) that it can reach: the pairs are chosen from
+        their numbers, and the blocks copied to the chunks' keys."""
         blocks = query_rows.groupBy("dim", F.col("bucket").alias("q_bucket"), "block").agg(F.collect_list(F.struct("vec_id", "v", "theta")).alias("rows"))
-        blocks = blocks.mapInArrow(packer(), "dim int, q_bucket int, block int, ids binary, vs binary, thetas binary")
-        sent = blocks.join(some, "dim")
+        blocks = cut(blocks.mapInArrow(packer(), "dim int, q_bucket int, block int, " + PACKED_TYPES)).drop("longest")
+        pairs = blocks.select("dim", "q_bucket", "block", "reach").join(some, "dim").where("longest >= reach").drop("longest", "reach")
+        sent = blocks.join(pairs, ["dim", "q_bucket", "block"])
         both = sent.join(chunk_rows, ["dim", "bucket", "part"])
         return both.select("dim", "ids", "vs", "thetas", "c_ids", "c_vs").mapInArrow(searcher(k), FOUND)
 
-    first = meet(asked.withColumn("theta", F.lit(NONE).cast("long")), chunks.where("longest and part = 0").select("dim", "bucket", "part"))
+    numbers = chunks.select("dim", "bucket", "part", "top", "longest")
+    first = meet(asked.withColumn("theta", F.lit(NONE).cast("long")), numbers.where("top and part = 0").drop("top"))
     theta = best(first, k).where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("theta"))
-    second = meet(asked.join(cut(theta), "vec_id", "left").fillna({"theta": NONE}), chunks.select("dim", "bucket", "part"))
+    second = meet(asked.join(cut(theta), "vec_id", "left").fillna({"theta": NONE}), numbers.drop("top"))
     return best(second, k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
