@@ -16,6 +16,8 @@ rows; an empty table gives no rows; `redact` keeps all other columns, whatever t
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +35,10 @@ KINDS = (*(k for k, *_ in BASE), OWNED[0])
 MOST_OWNERS = 2
 SPAN = "struct<start:int,kind:int,stop:int,value:bigint>"
 MARK = "__lacuna_"
+#: Numbers that are summed in one go.
+BLOCK = 256
+#: Code points of a text that are walked through for one piece of it.
+STRETCH = 4096
 
 
 def spans(text: Column, kind: int, pattern: str, group: int, least: int) -> Column:
@@ -41,18 +47,54 @@ def spans(text: Column, kind: int, pattern: str, group: int, least: int) -> Colu
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
     rows = F.arrays_zip(F.slice(F.split(text, pattern, -1), 1, F.size(found)).alias("gap"), found.alias("whole"), value.alias("value"))
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
+    rows = F.transform(rows, lambda x: F.struct(F.length(x["gap"]).alias("gap"), F.length(x["whole"]).alias("whole"), x["value"].alias("value")))
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["gap"])
-        stop = start + F.length(x["whole"])
-        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), stop.alias("stop"), F.xxhash64(x["value"]).alias("value"))
+    def span(x: Column, at: Column) -> Column:
+        start = at + x["gap"]
+        row = F.struct(start.alias("start"), F.lit(kind).alias("kind"), (start + x["whole"]).alias("stop"), F.xxhash64(x["value"]).alias("value"))
         keep = F.length(x["value"]) >= least
         if kind == len(BASE):
             keep &= x["value"].rlike("[A-Z]") & x["value"].rlike("[a-z]") & (F.size(F.array_distinct(F.split(x["value"], ""))) >= 12) & (F.regexp_count(x["value"], F.lit("[0-9]")) >= 3)
-        return F.struct(stop.alias("at"), F.when(keep, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+        return F.when(keep, row)
+
+    every = let(rows, lambda x: F.zip_with(x, running(F.transform(x, lambda y: y["gap"] + y["whole"]), lambda a, b: a + b), span))
+    return F.when(text.rlike(pattern), F.array_compact(every)).otherwise(F.array().cast(f"array<{SPAN}>"))
+
+
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value), with the value computed once: within lambdas, an expression would be computed for each element."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def running(numbers: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """For each of an array of ints what those before it combine to, from 0. In blocks, so that arrays grow by concatenation
+    only within a block or over the blocks: linear in practice, however many numbers there are."""
+    zero, none = F.lit(0), F.array().cast("array<int>")
+
+    def scan(x: Column, first: Column) -> Column:
+        start = F.struct(first.alias("now"), none.alias("out"))
+        step = lambda acc, y: F.struct(combine(acc["now"], y).alias("now"), F.concat(acc["out"], F.array(acc["now"])).alias("out"))
+        return F.aggregate(x, start, step, lambda acc: acc["out"])
 
-    return F.when(text.rlike(pattern), F.aggregate(rows, empty, step, lambda acc: acc["out"])).otherwise(F.array().cast(f"array<{SPAN}>"))
+    def joined(x: Column) -> Column:
+        places = F.when(F.size(x) > 0, F.sequence(F.lit(1), F.size(x), F.lit(BLOCK))).otherwise(none)
+        return F.transform(places, lambda i: F.slice(x, i, BLOCK))
+
+    total = lambda x: F.aggregate(x, zero, combine)
+    return F.flatten(let(let(numbers, joined), lambda blocks: F.zip_with(blocks, scan(F.transform(blocks, total), zero), scan)))
+
+
+def stretches(text: Column) -> Column:
+    """A text in stretches of STRETCH code points; substring() counts from the text's beginning each time."""
+    places = F.sequence(F.lit(0), F.greatest(F.length(text) - 1, F.lit(0)), F.lit(STRETCH))
+    return F.transform(places, lambda i: F.substring(text, i + 1, F.lit(STRETCH)))
+
+
+def between(parts: Column, start: Column, stop: Column) -> Column:
+    """Code points [start, stop) of a text in stretches."""
+    first = F.floor(start / STRETCH).cast("int")
+    some = F.slice(parts, first + 1, F.floor(stop / STRETCH).cast("int") - first + 1)
+    return F.substring(F.array_join(some, ""), start - first * STRETCH + 1, stop - start)
 
 
 def candidates(docs: DataFrame) -> DataFrame:
@@ -97,15 +139,11 @@ def redact(docs: DataFrame, most: int = MOST_OWNERS, put: str = "[secret]") -> D
     found = scan(docs, most).where(F.size("all") > 0).select("doc_id", "text_hash", "all").dropDuplicates(["doc_id", "text_hash"])
     found = found.select(F.col("doc_id").alias(f"{MARK}id"), F.col("text_hash").alias(f"{MARK}hash"), F.col("all").alias(f"{MARK}spans"))
     joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col(f"{MARK}id")) & (F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))) == F.col(f"{MARK}hash")), "left")
-    # spans may overlap: the text continues after the furthest end so far
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        before = F.substring(F.col("text"), acc["at"] + 1, F.greatest(x["start"] - acc["at"], F.lit(0)))
-        fresh = x["start"] >= acc["at"]
-        out = F.when(fresh, F.concat(acc["out"], before, F.lit(put))).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], x["stop"]).alias("at"), out.alias("out"))
-
-    clean = F.aggregate(F.col(f"{MARK}spans"), start, step, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
+    # spans may overlap: one that begins before the furthest end so far only moves that end
+    all_ = F.col(f"{MARK}spans")
+    furthest = running(F.transform(all_, lambda x: x["stop"]), lambda a, b: F.greatest(a, b))
+    pieces = let(stretches(F.col("text")), lambda parts: F.zip_with(all_, furthest, lambda x, at: F.when(x["start"] >= at, F.concat(between(parts, at, x["start"]), F.lit(put)))))
+    last = F.array_max(F.transform(all_, lambda x: x["stop"]))
+    clean = F.concat(F.array_join(F.array_compact(pieces), ""), F.substring(F.col("text"), last + 1, F.length("text")))
     text = F.when(F.col(f"{MARK}spans").isNotNull(), clean).otherwise(F.col("text"))
     return joined.withColumn("text", text).select(*[F.col(f"`{c}`") for c in docs.columns])
