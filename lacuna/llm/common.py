@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SPACE = r"\x20\x09-\x0D"
+#: Rows of a table of narrow rows that may be broadcast.
+SMALL_ROWS = 100_000
 HAS_LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -19,16 +21,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """Writes df to the shared checkpoint folder and reads it back, which ends its lineage.
 
-    The folder is the one named in spark.checkpoint.dir; only where that is unset (tests) a local one is made.
+    The folder is the one named in spark.checkpoint.dir.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lacuna-"))
+        context.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
 
 
-def small_side(df: DataFrame, rows: int) -> DataFrame:
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named in spark.checkpoint.dir. Only within one process (tests) a local one is made where that is unset."""
+    if folder := spark.conf.get("spark.checkpoint.dir", None):
+        return folder.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return tempfile.mkdtemp(prefix="lacuna-")
+
+
+def small_side(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
     """df with a broadcast hint if it is counted to hold at most `rows` rows, else df as it is (a shuffled join)."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
@@ -43,10 +54,16 @@ def labelled_sample(docs: DataFrame, per_label: int, label: str | None = None, k
 
     docs(doc_id, text) has the column `label`, or known(doc_id, y) has the labels. Copies of a text count once; rows with
     null label or text are left out. The choice depends on the rows only, not on their order or partitions. Labels meet
-    text hashes, never texts: only the chosen texts leave their tasks, per_label for each label value, to the driver.
+    text hashes, never texts: only the chosen texts leave their tasks, per_label for each label value, to the driver. Counts
+    of 65,536 ranges of hashes tell where a label's sample ends, and only rows up to there are ranked.
     """
     rows = docs.where(F.col("text").isNotNull()).select("doc_id", F.col("text").alias("t"), F.xxhash64("text").alias("h"), *([F.col(label).alias("y")] if label else []))
     keys = (rows if label else rows.select("doc_id", "h").join(known, "doc_id")).where("y is not null").select("y", "h").distinct()
+    keys = cut(keys.withColumn("range", F.shiftright("h", 48)))
+    upto = F.sum("n").over(Window.partitionBy("y").orderBy("range"))
+    ends = keys.groupBy("y", "range").agg(F.count("*").alias("n")).withColumn("before", upto - F.col("n")).where(F.col("before") < per_label)
+    ends = ends.groupBy("y").agg(F.max("range").alias("end"))  # a row for each label value
+    keys = keys.join(small_side(cut(ends)), "y").where("range <= end").select("y", "h")
     keys = keys.withColumn("r", F.row_number().over(Window.partitionBy("y").orderBy("h"))).where(F.col("r") <= per_label).drop("r")
     keys = cut(keys)  # per_label rows a label value at most, so broadcast
     texts = rows.select("t", "h").join(F.broadcast(keys.select("h").distinct()), "h").groupBy("h").agg(F.min("t").alias("t"))
