@@ -1,22 +1,25 @@
-"""SimHash near-duplicates by a grid over segment bit counts.
+"""SimHash near-duplicates by a grid range-join over segment bit counts.
 
 A 64-bit fingerprint becomes the vector of the bit counts of its 32 segments of 2 bits. The Manhattan distance of two
 such vectors is at most the Hamming distance of the fingerprints, so links (2 differing bits or fewer) lie within
 Manhattan distance 2. Grid range-join: each different fingerprint registers in its own cell of the integer grid and in
-the cells one step away; vectors within distance 2 share such a cell. Fingerprints alone in all their cells are dropped.
-Exact check of the rest: fingerprints within 2 bits of each other share a word that is at most one bit away from both,
-and all that share one are within 2 bits of each other, so each is linked to the first of its word; the linked pair's
-distance is counted. Every step is linear in the number of different fingerprints: no pairs within a cell are emitted,
-however many fingerprints a cell has. Exact copies are one fingerprint, hence one row, before the grid.
+the cells one step away; vectors within distance 2 share such a cell. The fingerprints that share a cell are the
+candidates, and each pair's differing bits are counted. In a cell of more than CROWD fingerprints not all pairs are made:
+a pair that this cell must find differs by at most one bit from a word of the cell's own bit counts, so that each of the
+cell's fingerprints is compared with the first one beside each such word; all beside one word are within 2 bits of each
+other. Every step is linear in the number of different fingerprints. Exact copies are one fingerprint, hence one row,
+before the grid.
 
 The near-duplicate stage (`keep_first`) links texts by the Jaccard similarity of their shingle sets instead, SIMILAR or more
-of WORDS words. Such texts differ in some ten bits and more, too many for a join on bits, so that candidates are texts that
-share one of BANDS bands of HASHES least hashes, and each candidate pair's sets are compared. Bands of up to SMALL texts give
-all their pairs; in larger ones texts are compared with centres, those that share most bands, and leave once linked, with
-twice as many centres each round, until what is left is small.
-
-Defined results: null and empty texts have fingerprint zero, which links like any other; repeated rows get equal rows;
-an empty table gives no rows; other columns of the input are ignored.
+of WORDS words. Such texts differ in some ten bits and more, where the grid's cells are of no use, so that candidates are
+texts that share one of BANDS bands of HASHES least hashes. Each text of a band is compared with the band's centre, the text
+that shares most bands; texts that are connected by then need no more comparing. What is left of a band are pairs of texts
+in different components: of bands of up to SMALL texts each such pair is compared; larger ones go in blocks of CHUNK texts,
+those outside the band's largest component meeting all others, within a task and without a row for a pair.
+
+Defined results: null and empty texts have fingerprint zero, which links like any other; rows of a null id get a null
+component unless a row with an id has or reaches their fingerprint; repeated rows get equal rows; an empty table gives no
+rows; other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -34,7 +37,9 @@ SHINGLE = 3
 SEED = 42
 #: The near-duplicate stage: words of a shingle and least similarity. A pair at it shares no band in 0.07 % of cases.
 WORDS, SIMILAR = 5, 0.8
-BANDS, HASHES, SMALL = 24, 6, 16
+BANDS, HASHES, SMALL, CHUNK = 24, 6, 16, 512
+#: Differing bits of linked fingerprints; the grid's cells are made for this number. Fingerprints of a cell that all meet.
+DISTANCE, CROWD = 2, 24
 
 
 def fingerprint(text: str, words: int = SHINGLE, seed: int = SEED) -> int:
@@ -96,13 +101,16 @@ def near_words(fp: Column) -> Column:
 def link_fingerprints(prints: DataFrame) -> DataFrame:
     """Edges (a, b) between the first documents of fingerprints that differ in 1 or 2 bits, enough of them to connect all
     that such differences connect. prints: rep (long), fp (long), one row for each fingerprint."""
-    in_cells = prints.select("fp", own_cell(F.col("fp")).alias("own")).select("fp", F.explode(cells(F.col("own"))).alias("cell"))
-    shared = in_cells.groupBy("cell").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo <> hi").select("cell")
-    candidates = in_cells.join(shared, "cell", "left_semi").select("fp").distinct().join(prints, "fp")
-    words = candidates.select("rep", "fp", F.explode(near_words(F.col("fp"))).alias("word"))
-    first = words.groupBy("word").agg(F.min(F.struct("rep", "fp")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    pairs = words.join(first, "word").where("rep <> first.rep")
-    return pairs.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("first.fp"))) <= 2).select(F.col("rep").alias("a"), F.col("first.rep").alias("b")).distinct()
+    in_cells = prints.select("rep", "fp", own_cell(F.col("fp")).alias("own")).select("rep", "fp", F.explode(cells(F.col("own"))).alias("cell"))
+    shared = in_cells.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
+    there = cut(in_cells.join(shared, "cell"))
+    of = F.struct("fp", "rep")
+    few = there.where(F.col("n") <= CROWD).groupBy("cell").agg(F.array_sort(F.collect_list(of)).alias("x"))
+    pairs = few.select(F.explode(F.flatten(F.transform("x", lambda b, i: F.transform(F.slice("x", F.lit(1), i), lambda a: F.struct(a.alias("a"), b.alias("b")))))).alias("p")).select("p.a", "p.b")
+    words = there.where(F.col("n") > CROWD).select("cell", of.alias("b"), F.explode(F.filter(near_words(F.col("fp")), lambda w: own_cell(w) == F.col("cell"))).alias("word"))
+    first = words.groupBy("cell", "word").agg(F.min("b").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
+    pairs = pairs.union(words.join(first, ["cell", "word"]).where("a <> b").select("a", "b"))
+    return pairs.where(F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= DISTANCE).select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE, seed: int = SEED) -> DataFrame:
@@ -174,41 +182,84 @@ def verified(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
     return found.where(both >= similar * (F.size("of_a") + F.size("of_b") - both)).select("a", "b")
 
 
-def link_sets(sets: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """Edges (a, b) between nodes of sets(node, bands, shingles) that are similar and share a band; rows of a node are equal."""
-    members = sets.select("node", F.explode("bands").alias("band")).distinct()
+def comparer(similar: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Meetings of two blocks of texts, of one with itself where `right` is null -> links (a, b) that connect their components."""
 
-    def shared(rows: DataFrame) -> DataFrame:
-        n = rows.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-        return rows.join(n, "band")
+    def read(block: list[dict]) -> tuple[list[int], list[int], list[np.ndarray]]:
+        return [x["node"] for x in block], [x["root"] for x in block], [np.array(x["shingles"], np.int32) for x in block]
 
-    members = cut(shared(members))
-    sets = cut(sets.select("node", "shingles").join(members.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]))
+    def incidence(sets: list[np.ndarray], used: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(sets), len(used)), np.float32)
+        for i, x in enumerate(sets):
+            out[i, np.searchsorted(used, x)] = 1
+        return out
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for left, right in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                nodes, roots, sets = read(left)
+                others, other_roots, other_sets = read(right) if right else (nodes, roots, sets)
+                root: dict[int, int] = {}
+
+                def find(x: int, root: dict[int, int] = root) -> int:
+                    while root.setdefault(x, x) != x:
+                        root[x] = x = root[root[x]]
+                    return x
+
+                size = np.array([len(x) for x in other_sets])
+                for at in range(0, len(sets), 64):  # rows that are in memory at once
+                    some = sets[at : at + 64]
+                    used = np.unique(np.concatenate(some))
+                    both = incidence(some, used) @ incidence([x[np.isin(x, used)] for x in other_sets], used).T
+                    own = np.array([len(x) for x in some])[:, None]
+                    for i, j in zip(*np.nonzero(both >= similar * (own + size[None, :] - both)), strict=True):
+                        p, q = find(roots[at + i]), find(other_roots[j])
+                        if p != q:
+                            root[max(p, q)] = min(p, q)
+                            found.append((nodes[at + i], others[j]))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], names=["a", "b"])
+
+    return compare
+
+
+def link_sets(sets: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """Edges (a, b) between nodes of sets(node, bands, shingles), enough of them to connect all that are similar and share a
+    band; rows of a node are equal."""
+    members = sets.groupBy("node").agg(F.first("bands").alias("bands")).select("node", F.explode("bands").alias("band"))
+    members = cut(members.join(members.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "band"))
+    sets = cut(sets.select("node", "shingles").join(members.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles")))
     # texts at the middle of a group share more bands, with more others, than those at its edge
     weight = members.groupBy("node").agg(F.sum("n").alias("w"))
-    members = cut(members.join(weight, "node"))
-    links, centres = [], 1
-    while True:
-        few = members.where(F.col("n") <= SMALL).groupBy("band").agg(F.array_sort(F.collect_set("node")).alias("x"))
-        pairs = few.select(F.explode(F.flatten(F.transform("x", lambda b, i: F.transform(F.slice("x", F.lit(1), i), lambda a: F.struct(a.alias("a"), b.alias("b")))))).alias("p")).select("p.*").distinct()
-        links.append(cut(verified(pairs, sets, similar)))
-        members = members.where(F.col("n") > SMALL)
-        if members.isEmpty():
-            break
-        order = Window.partitionBy("band").orderBy((-F.col("w")), "node")
-        heads = cut(members.withColumn("r", F.row_number().over(order)).where(F.col("r") <= centres).select("band", F.col("node").alias("b")))
-        beside = members.join(heads, "band").where(F.col("node") != F.col("b")).select("band", F.col("node").alias("a"), "b")
-        ordered = beside.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        new = cut(verified(ordered, sets, similar))
-        links.append(new)
-        either = new.union(new.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        gone = beside.join(either, ["a", "b"], "left_semi").select("band", F.col("a").alias("node")).union(heads.select("band", F.col("b").alias("node"))).distinct()
-        members = cut(shared(members.drop("n").join(gone, ["band", "node"], "left_anti")).select("band", "node", "n", "w"))
-        centres *= 2
-    out = links[0]
-    for x in links[1:]:
-        out = out.union(x)
-    return out.distinct()
+    centre = members.join(weight, "node").groupBy("band").agg(F.max_by("node", F.struct("w", "node")).alias("b"))
+    beside = members.join(centre, "band").where("node <> b")
+    stars = cut(verified(beside.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct(), sets, similar))
+    roots = components(stars)
+    named = members.join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
+    parts = named.groupBy("band", "root").agg(F.count("*").alias("k")).groupBy("band")
+    parts = parts.agg(F.sum("k").alias("n"), F.count("*").alias("parts"), F.max_by("root", F.struct("k", "root")).alias("most")).where("parts > 1").drop("parts")
+    open_ = cut(named.join(parts, "band"))
+    few = open_.where(F.col("n") <= SMALL).groupBy("band").agg(F.array_sort(F.collect_list(F.struct("node", "root"))).alias("x"))
+    pairs = F.flatten(F.transform("x", lambda b, i: F.transform(F.filter(F.slice("x", F.lit(1), i), lambda a: a["root"] != b["root"]), lambda a: F.struct(a["node"].alias("a"), b["node"].alias("b")))))
+    pairs = few.select(F.explode(pairs).alias("p")).select("p.*").distinct()
+    return stars.union(verified(pairs, sets, similar)).union(link_crowds(open_.where(F.col("n") > SMALL), sets, similar))
+
+
+def link_crowds(members: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
+    """Links (a, b) of large bands of members(band, node, root, n, most) between texts of different roots."""
+    rest = members.where("root <> most").groupBy("band").agg(F.count("*").alias("m"))
+    dealt = members.join(rest, "band").join(sets, "node")
+    # blocks 0, 1, ... have the texts outside the largest component, blocks -1, -2, ... those within
+    deal = lambda n: F.pmod(F.xxhash64("node"), F.ceil(n / CHUNK))
+    part = F.when(F.col("root") != F.col("most"), deal(F.col("m"))).otherwise(-1 - deal(F.greatest(F.col("n") - F.col("m"), F.lit(1)))).cast("int")
+    blocks = dealt.withColumn("part", part).groupBy("band", "part").agg(F.first("m").alias("m"), F.collect_list(F.struct("node", "root", "shingles")).alias("block"))  # about CHUNK texts
+    partners = F.sequence(F.lit(0), (F.ceil(F.col("m") / CHUNK) - 1).cast("int"))
+    inner = F.when(F.col("part") < 0, partners).otherwise(F.sequence(F.lit(0), F.col("part")))
+    # a block outside meets itself and the earlier ones outside; a block within is met by all outside
+    left = blocks.select("band", F.col("part").alias("right_part"), F.explode(inner).alias("part"), F.col("block").alias("right"))
+    both = left.join(blocks.where("part >= 0").select("band", "part", F.col("block").alias("left")), ["band", "part"])
+    return both.select("left", F.when(F.col("right_part") != F.col("part"), F.col("right")).alias("right")).mapInArrow(comparer(similar), "a long, b long")
 
 
 def keep_first(docs: DataFrame, words: int = WORDS, similar: float = SIMILAR, seed: int = SEED) -> DataFrame:
