@@ -8,9 +8,10 @@ candidates and are verified exactly, in double precision. The code grows with th
 chance pairs for a vector stays the same. The number of caps varies much between vectors, so every vector is also
 registered in its nearest directions, BEST of them at 50,000 vectors and as the fourth root of their number beyond.
 
-Copies (equal label and vector) are one vector with a count. Directions with many vectors are dealt to blocks of at most
-CHUNK vectors, and each two blocks meet on their own, so no task holds a whole hot direction. A meeting is one matrix product; a pair of vectors counts
-only at the first direction that both share. Meetings report no pairs: for each vector the number of its links there, and
+Copies (equal label and vector) are one vector with a count. A vector goes to each of its directions that others have too,
+as it came (floats stay floats), with the directions before that one. Directions of more than CHUNK vectors are dealt to
+blocks of about so many, and each two blocks meet on their own, so no task holds a whole hot direction. A meeting is matrix
+products of STRIP rows at a time; a pair of vectors counts only at the first direction that both share. Meetings report no pairs: for each vector the number of its links there, and
 links enough to connect what the meeting's links connect, so that their rows grow with the vectors in them.
 
 Defined results: null labels, and vectors that are null, empty, zero or hold null or non-finite components, link with
@@ -27,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lacuna.llm.common import components, cut
 
@@ -34,7 +36,7 @@ COSINE = 0.93
 BLOCKS = 4
 #: Caps that a random vector is expected to be in, and the number of nearest directions that it is always in.
 EXPECTED, BEST = 32, 16
-CHUNK = 512
+CHUNK, STRIP = 4096, 256
 SEED = 29
 
 
@@ -97,9 +99,9 @@ class ProductCode:
         return np.sort(numbers)
 
 
-def decoder(words: int, expected: float, best: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """rep, n, label, embedding -> these with the unit vector and the directions packed, and the directions as an array."""
-    kinds = {"rep": pa.int64(), "n": pa.int64(), "label": pa.int64(), "dim": pa.int32(), "filters": pa.list_(pa.int64()), "v": pa.binary(), "f": pa.binary()}
+def decoder(words: int, expected: float, best: int, kind: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """rep, n, label, embedding -> these with the vector packed in the type `kind`, its size, and its directions in order."""
+    kinds = {"rep": pa.int64(), "n": pa.int64(), "label": pa.int64(), "dim": pa.int32(), "filters": pa.list_(pa.int64()), "v": pa.binary()}
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes: dict[int, ProductCode] = {}
@@ -110,15 +112,15 @@ def decoder(words: int, expected: float, best: int) -> Callable[[Iterator[pa.Rec
                     if dim not in codes:
                         codes[dim] = ProductCode(dim, words, expected, best)
                     pick = [i for i, x in enumerate(vectors) if len(x) == dim]
-                    v = unit(np.array([vectors[i] for i in pick], dtype=np.float64))
-                    found = codes[dim].decode(v)
-                    rows = [(reps[i], ns[i], labels[i], dim, f.tolist(), x.tobytes(), f.astype(np.int64).tobytes()) for i, f, x in zip(pick, found, v, strict=True)]
+                    raw = np.array([vectors[i] for i in pick], dtype=np.float64)
+                    found = codes[dim].decode(unit(raw))
+                    rows = [(reps[i], ns[i], labels[i], dim, f.tolist(), x.tobytes()) for i, f, x in zip(pick, found, raw.astype(kind), strict=True)]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds.values(), strict=True)], names=list(kinds))
 
     return decode
 
 
-CODED = "rep long, n long, label long, dim int, filters array<long>, v binary, f binary"
+CODED = "rep long, n long, label long, dim int, filters array<long>, v binary"
 
 
 def unit(v: np.ndarray) -> np.ndarray:
@@ -132,9 +134,8 @@ def usable(vector: str = "embedding") -> F.Column:
     return v.isNotNull() & (F.size(v) > 0) & ~F.exists(v, bad) & F.exists(v, lambda x: x != 0)
 
 
-def first_shared(a: list[np.ndarray], b: list[np.ndarray], at: int) -> np.ndarray:
-    """Whether the vectors of a and b share no direction before the number `at`."""
-    a, b = [x[x < at] for x in a], [x[x < at] for x in b]
+def shares(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Whether the directions of a and b, those before the meeting's own, have one in common."""
     used = np.unique(np.concatenate([*a, *b]))
     grids = []
     for side in (a, b):
@@ -142,7 +143,7 @@ def first_shared(a: list[np.ndarray], b: list[np.ndarray], at: int) -> np.ndarra
         for i, x in enumerate(side):
             grid[i, np.searchsorted(used, x)] = 1
         grids.append(grid)
-    return grids[0] @ grids[1].T == 0
+    return grids[0] @ grids[1].T > 0
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
@@ -163,35 +164,41 @@ def forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def verifier(cosine: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def verifier(cosine: float, kind: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Meetings of two blocks (of one with itself where `right` is null) -> rows (a, b null, number of links of a) and
     (a, b, null) for links that connect."""
 
     def read(block: pa.Scalar) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
         rows = block.as_py()
-        v = np.frombuffer(b"".join(r["v"] for r in rows), dtype=np.float64).reshape(len(rows), -1)
-        return np.array([r["rep"] for r in rows]), np.array([r["n"] for r in rows]), v, [np.frombuffer(r["f"], dtype=np.int64) for r in rows]
+        v = np.frombuffer(b"".join(r["v"] for r in rows), dtype=kind).astype(np.float64).reshape(len(rows), -1)
+        return np.array([r["rep"] for r in rows]), np.array([r["n"] for r in rows]), unit(v), [np.array(r["f"], dtype=np.int64) for r in rows]
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(len(batch)):
-                at, left = batch.column(0)[k].as_py(), read(batch.column(1)[k])
-                same = not batch.column(2)[k].is_valid
-                right = left if same else read(batch.column(2)[k])
-                near = left[2] @ right[2].T >= cosine
-                near &= left[0][:, None] != right[0][None, :]
-                rows, columns = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
-                if not len(rows):
-                    continue
-                near = near[np.ix_(rows, columns)] & first_shared([left[3][i] for i in rows], [right[3][i] for i in columns], at)
-                ids, others = left[0][rows], right[0][columns]
-                counts = [(ids, near @ right[1][columns])] + ([] if same else [(others, left[1][rows] @ near)])
-                i, j = np.nonzero(near)
-                tied = forest(ids[i], others[j])
-                a = np.concatenate([*(x for x, _ in counts), [x for x, _ in tied]]).astype(np.int64)
-                n = np.concatenate([c for _, c in counts]).astype(np.int64).tolist()
-                kept = pa.RecordBatch.from_arrays([pa.array(a), pa.array([None] * len(n) + [y for _, y in tied], pa.int64()), pa.array(n + [None] * len(tied), pa.int64())], names=["a", "b", "n"])
-                yield kept
+                left = read(batch.column(0)[k])
+                same = not batch.column(1)[k].is_valid
+                right = left if same else read(batch.column(1)[k])
+                own, others = np.zeros(len(left[0]), np.int64), np.zeros(len(right[0]), np.int64)
+                tied: list[tuple[int, int]] = []
+                for at in range(0, len(left[0]), STRIP):
+                    some = slice(at, at + STRIP)
+                    near = left[2][some] @ right[2].T >= cosine
+                    near &= left[0][some, None] != right[0][None, :]
+                    rows, columns = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
+                    if not len(rows):
+                        continue
+                    near = near[np.ix_(rows, columns)] & ~shares([left[3][at + i] for i in rows], [right[3][j] for j in columns])
+                    own[at + rows] += near @ right[1][columns]
+                    others[columns] += left[1][at + rows] @ near
+                    i, j = np.nonzero(near)
+                    tied = forest(np.concatenate([[x for x, _ in tied], left[0][at + rows[i]]]).astype(np.int64), np.concatenate([[y for _, y in tied], right[0][columns[j]]]).astype(np.int64))
+                counts = [(left[0], own)] + ([] if same else [(right[0], others)])
+                a, n = (np.concatenate([x[side][x[1] > 0] for x in counts]) for side in (0, 1))
+                if len(a):
+                    ties = np.array(tied, np.int64).reshape(-1, 2)
+                    to = pa.array([None] * len(a) + ties[:, 1].tolist(), pa.int64())
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([a, ties[:, 0]])), to, pa.array(n.tolist() + [None] * len(ties), pa.int64())], names=["a", "b", "n"])
 
     return verify
 
@@ -203,29 +210,35 @@ def links(reps: DataFrame, cosine: float = COSINE, expected: float = EXPECTED, b
     # chance pairs of a vector, expected**2 * count / words**BLOCKS, stay below 8 * expected
     words = max(8, math.ceil((expected * max(1, count) / 8) ** (1 / BLOCKS)))
     best = max(best, math.ceil(best * (count / 50_000) ** 0.25))
-    coded = cut(reps.select("rep", "n", "label", "embedding").mapInArrow(decoder(words, expected, best), CODED))
+    kind = "<f4" if reps.schema["embedding"].dataType == T.ArrayType(T.FloatType()) else "<f8"
+    coded = cut(reps.select("rep", "n", "label", "embedding").mapInArrow(decoder(words, expected, best, kind), CODED))
     group = ["label", "dim", "filter"]
-    at = coded.select("rep", "label", "dim", F.explode("filters").alias("filter"))
-    counts = at.groupBy(*group).agg(F.count("*").alias("m")).where("m > 1").select(*group, F.ceil(F.col("m") / CHUNK).cast("int").alias("parts"))
-    at = at.join(counts, group).select("rep", "filter", "parts", F.pmod(F.xxhash64("rep", "filter"), F.col("parts")).cast("int").alias("part"))
-    full = at.join(coded.drop("filters"), "rep")
+    counts = coded.select("label", "dim", F.explode("filters").alias("filter")).groupBy(*group).agg(F.count("*").alias("m")).where("m > 1")
+    counts = counts.select(*group, F.ceil(F.col("m") / CHUNK).cast("int").alias("parts"))
+    # narrow rows first tell which directions are shared; vectors move once, to these
+    shared = coded.select("rep", "label", "dim", F.posexplode("filters").alias("place", "filter")).join(counts, group)
+    wanted = shared.groupBy("rep").agg(F.collect_list(F.struct("place", "filter", "parts")).alias("wanted"))  # directions of one vector
+    full = coded.join(wanted, "rep").withColumn("to", F.explode("wanted")).select("rep", "n", "v", "label", "dim", "to.*", F.slice("filters", F.lit(1), F.col("to.place")).alias("f"))
+    full = full.withColumn("part", F.pmod(F.xxhash64("rep", "filter"), F.col("parts")).cast("int"))
     blocks = full.groupBy(*group, "part", "parts").agg(F.collect_list(F.struct("rep", "n", "v", "f")).alias("block"))  # about CHUNK vectors
-    return meet(blocks, group).mapInArrow(verifier(cosine), "a long, b long, n long")
+    alone = blocks.where("parts = 1").select(F.col("block").alias("left"), F.lit(None).cast(blocks.schema["block"].dataType).alias("right"))
+    return alone.union(meet(cut(blocks.where("parts > 1")), group)).mapInArrow(verifier(cosine, kind), "a long, b long, n long")
 
 
 def meet(blocks: DataFrame, group: list[str]) -> DataFrame:
-    """filter, left and right of every block with itself (right null) and of every two blocks of one group. A group of one
-    block, which is nearly all, has one row; a block of a group of many goes to each meeting with another by key."""
+    """left and right of every block with itself (right null) and of every two blocks of one group: a block of a group of many
+    goes to each meeting with another by key."""
     each = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(*group, F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), F.struct("part", "block").alias("x"))
     pairs = each.groupBy(*group, "p", "q").agg(F.sort_array(F.collect_list("x")).alias("xs"))  # two blocks at most
     own = F.col("p") == F.col("q")
-    pairs = pairs.select("filter", F.col("xs")[0]["block"].alias("left"), F.when(~own & (F.size("xs") > 1), F.get("xs", F.lit(1))["block"]).alias("right"), own.alias("own"), F.size("xs").alias("k"))
-    return pairs.where("(own and size(left) > 1) or (not own and k > 1)").select("filter", "left", "right")
+    pairs = pairs.select(F.col("xs")[0]["block"].alias("left"), F.when(~own & (F.size("xs") > 1), F.get("xs", F.lit(1))["block"]).alias("right"), own.alias("own"), F.size("xs").alias("k"))
+    return pairs.where("(own and size(left) > 1) or (not own and k > 1)").select("left", "right")
 
 
 def near_duplicates(table: DataFrame, cosine: float = COSINE, expected: float = EXPECTED) -> DataFrame:
     """vec_id, n_links, component_id and kept of table(vec_id, embedding, label)."""
-    rows = table.select(F.col("vec_id").cast("long"), F.col("label").cast("long"), F.col("embedding").cast("array<double>"))
+    kind = "array<float>" if table.schema["embedding"].dataType == T.ArrayType(T.FloatType()) else "array<double>"
+    rows = table.select(F.col("vec_id").cast("long"), F.col("label").cast("long"), F.col("embedding").cast(kind))
     good = rows.where(usable() & F.col("label").isNotNull() & F.col("vec_id").isNotNull())
     good = good.withColumn("key", F.xxhash64("embedding"))
     classes = cut(good.groupBy("label", "key", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")))
