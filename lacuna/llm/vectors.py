@@ -169,9 +169,11 @@ def verifier(cosine: float, kind: str) -> Callable[[Iterator[pa.RecordBatch]], I
     (a, b, null) for links that connect."""
 
     def read(block: pa.Scalar) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
-        rows = block.as_py()
-        v = np.frombuffer(b"".join(r["v"] for r in rows), dtype=kind).astype(np.float64).reshape(len(rows), -1)
-        return np.array([r["rep"] for r in rows]), np.array([r["n"] for r in rows]), unit(v), [np.array(r["f"], dtype=np.int64) for r in rows]
+        flat = block.values.flatten()  # rep, n, v and f of its vectors
+        rep, n = (x.to_numpy(zero_copy_only=False) for x in flat[:2])
+        v = np.frombuffer(b"".join(flat[2].to_pylist()), dtype=kind).astype(np.float64).reshape(len(rep), -1)
+        ends = np.cumsum(flat[3].value_lengths().to_numpy(zero_copy_only=False))
+        return rep, n, unit(v), np.split(flat[3].flatten().to_numpy(zero_copy_only=False), ends[:-1])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
