@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lacuna.llm import language, mixing, packing, quality, secrets, sharding, topk, toxicity, vectors
+from lacuna.llm import language, mixing, packing, quality, secrets, sharding, simhash, topk, toxicity, vectors
 from lacuna.llm.common import components, ranked
 from lacuna.llm.queries import QUERIES
 
@@ -386,6 +386,31 @@ def test_op10_pruned(spark, monkeypatch):
         assert [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] == [(x, -s) for s, x in order]
 
 
+def similar_firsts(docs):
+    """The first document of each group that is connected by a Jaccard similarity of 0.8 of five-word shingles."""
+    first = {}
+    for r in sorted(docs.collect(), key=lambda r: r.doc_id):
+        words = re.findall(rb"[^\x20\x09-\x0d]+", r.text.encode().lower())
+        first.setdefault(frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset(), r.doc_id)
+    sets, holders = list(first), defaultdict(list)
+    root = {i: i for i in first.values()}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, s in enumerate(sets):
+        shared = Counter(j for x in s for j in holders[x])
+        for j, n in shared.items():
+            if n >= 0.8 * (len(s) + len(sets[j]) - n):
+                a, b = find(first[s]), find(first[sets[j]])
+                root[max(a, b)] = min(a, b)
+        for x in s:
+            holders[x].append(i)
+    return {x for x in root if find(x) == x}
+
+
 def test_pipeline(spark, docs):
     out = corpus_pipeline.run(spark, SF).collect()
     assert out and max(r.offset + r.length for r in out) <= 4096
@@ -393,6 +418,149 @@ def test_pipeline(spark, docs):
     good = {r.doc_id for r in quality.classify(docs, spark.read.parquet(f"{SF}/labels.parquet")).where("predicted = 1").collect()}
     assert {r.doc_id for r in kept.collect()} == good
     first = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
-    assert {r.doc_id for r in first.collect()} == {r.component_id for r in QUERIES["op6_simhash"](spark, SF).collect()}
+    assert {r.doc_id for r in first.collect()} == similar_firsts(docs)
     clean = {r.doc_id: r.text for r in corpus_pipeline.redact_secrets(spark, docs, SF).collect()}
     assert len(clean) == docs.count() and not any(base_spans(t) for t in clean.values())
+
+
+def test_op1_special_texts():
+    from tokenizers import Tokenizer
+
+    encode, whole = packing.WordTokenizer(packing.tokenizer_path()), Tokenizer.from_file(packing.tokenizer_path())
+    for text in ("<|endoftext|>", "a<|startoftext|>b <|endoftext|>", "<|EndOfText|> x", "<|endoftext|<|endoftext|>", "plain text", ""):
+        assert np.frombuffer(encode(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
+    assert np.frombuffer(encode("<|endoftext|>"), "<u4").tolist() == [49407]
+
+
+def test_sentence_value_is_a_sum_of_dense_kernels():
+    """A score's inside, against sums over all landmarks and words of the kernel by hand."""
+    machine = toxicity.Machine(toxicity.WordKernel(["^idiot", "^loser", "^friend"]), np.array([1.5, 0.5, -1.0], np.float32), -0.25, 1.0, 0.0)
+
+    def subsequences(a, b):
+        return sum(toxicity.DECAY ** (i[-1] - i[0] + j[-1] - j[0] + 2) for i in itertools.combinations(range(len(a)), 3) for j in itertools.combinations(range(len(b)), 3) if all(a[x] == b[y] for x, y in zip(i, j, strict=True)))
+
+    def like(a, b):
+        return (subsequences(a, b) / max(1e-12, subsequences(a, a) * subsequences(b, b)) ** 0.5) ** toxicity.POWER
+
+    text = "you idxiot went home. a friend of losers"
+    by_hand = [sum(w * like(f"^{x}", m) for x in s.split() for m, w in (("^idiot", 1.5), ("^loser", 0.5), ("^friend", -1.0))) for s in text.split(". ")]
+    assert abs(machine.values([text])[0] - (max(by_hand) - 0.25)) < 1e-4
+
+
+def test_network_byte_by_byte():
+    net = language.ByteNetwork(3, hidden=4)
+    runs = [b"abc", b"de", b"zabx"]
+    codes, mask = language.padded(runs)
+    got, s = net.probabilities(codes, mask), lambda x: 1 / (1 + np.exp(-x))
+    for k, run in enumerate(runs):
+        states = {}
+        for way, order in (("f", range(len(run))), ("b", range(len(run) - 1, -1, -1))):
+            h = np.zeros(4)
+            for t in order:
+                x, r = net.p["x" + way][run[t]] + net.p["c" + way], h @ net.p["h" + way]
+                update, reset = s(x[:4] + r[:4]), s(x[4:8] + r[4:8])
+                h = (1 - update) * np.tanh(x[8:] + reset * r[8:]) + update * h
+                states[way, t] = h
+        for t in range(len(run)):
+            z = np.concatenate([states["f", t], states["b", t]]) @ net.p["o"] + net.p["d"]
+            assert np.allclose(got[k, t], np.exp(z) / np.exp(z).sum(), atol=1e-5)
+
+
+def test_attention_bag_by_bag():
+    model, rng = quality.AttentionModel(5, 4, 3), np.random.default_rng(1)
+    bags = [rng.normal(size=(n, 5)) for n in (1, 3, 2)]
+    got = model.forward(np.concatenate(bags), np.array([0, 1, 4]))[-1]
+    for logit, bag in zip(got, bags, strict=True):
+        h = [np.tanh(x @ model.p["w"] + model.p["c"]) for x in bag]
+        pull = np.exp([(np.tanh(x @ model.p["v"]) / (1 + np.exp(-(x @ model.p["u"])))) @ model.p["a"] for x in h])
+        assert abs(sum(w * x for w, x in zip(pull / pull.sum(), h, strict=True)) @ model.p["o"] + model.p["d"][0] - logit) < 1e-9
+
+
+@pytest.mark.parametrize("crowd", [24, 2])
+def test_op6_planted_links(spark, monkeypatch, crowd):
+    """Fingerprints 1 to 4 bits apart, and a crowd around one word, in cells of few and of many."""
+    monkeypatch.setattr(simhash, "CROWD", crowd)
+    rng = random.Random(1)
+    fps = {rng.getrandbits(64) for _ in range(100)}
+    for f in sorted(fps)[:50]:
+        for k in (1, 2, 3, 4):
+            fps.add(f ^ sum(1 << b for b in rng.sample(range(64), k)))
+    centre = rng.getrandbits(64)
+    fps |= {centre ^ (1 << i) for i in range(0, 64, 2)} | {centre ^ sum(1 << b for b in rng.sample(range(64), 2)) for _ in range(60)}
+    fps = sorted(fps)
+
+    def roots(links):
+        root = list(range(len(fps)))
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for a, b in links:
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+        return [find(x) for x in range(len(fps))]
+
+    want = [(i, j) for i, j in itertools.combinations(range(len(fps)), 2) if (fps[i] ^ fps[j]).bit_count() <= 2]
+    rows = [(r.a, r.b) for r in simhash.link_fingerprints(spark.createDataFrame([(i, f - (1 << 64) if f >> 63 else f) for i, f in enumerate(fps)], "rep long, fp long")).collect()]
+    assert len(want) > 100 and all((fps[a] ^ fps[b]).bit_count() <= 2 for a, b in rows) and roots(rows) == roots(want)
+
+
+@pytest.mark.parametrize(("words", "best"), [(22, 16), (67, 51), (213, 160)])
+def test_op7_recall_at_larger_codes(words, best):
+    """The codes of 50 thousand, 5 million and 500 million vectors, at the threshold itself."""
+    rng = np.random.default_rng(0)
+    n = 60
+    a = vectors.unit(rng.normal(size=(n, 64)))
+    z = rng.normal(size=(n, 64))
+    z = vectors.unit(z - (z * a).sum(axis=1, keepdims=True) * a)
+    code = vectors.ProductCode(64, words, best=best)
+    shared = [len(np.intersect1d(x, y)) > 0 for x, y in zip(code.decode(a), code.decode(0.93 * a + np.sqrt(1 - 0.93**2) * z), strict=True)]
+    assert np.mean(shared) >= 0.9
+
+
+def test_op8_against_plain_pareto_sampling(spark, docs):
+    """Copies of each document, against one walk over each source's documents in Pareto order."""
+    mixed = {r.doc_id: r for r in mixing.mix(docs).select("doc_id", f"{mixing.MIX}.*").collect()}
+    rows = [r.m for r in mixing.measured(docs, mixing.SEED).select(F.col(mixing.MIX).alias("m")).collect()]
+    total = Counter()
+    for r in rows:
+        total[r.source] += r["size"]
+    seen = set()
+    for source, goal in mixing.targets(dict(total)).items():
+        own = [r for r in rows if r.source == source]
+        low, high = 0.0, 2.0
+        for _ in range(200):  # the rate at which expected words make the target
+            rate = (low + high) / 2
+            low, high = (rate, high) if sum(min(2.0, rate * r["size"].bit_length()) * r["size"] for r in own) < goal else (low, rate)
+        copies = {r.id: round(min(2.0, high * r["size"].bit_length()), 9) for r in own}
+        seen |= {round(c % 1, 6) for c in copies.values()}
+        missing = goal - sum(int(copies[r.id]) * r["size"] for r in own)
+        odds = lambda r: r.u / (1 - r.u) / (copies[r.id] % 1 / (1 - copies[r.id] % 1))  # noqa: B023, E731
+        order = sorted((r for r in own if copies[r.id] % 1 > 0), key=lambda r: (odds(r), r.id))
+        taken = set()
+        for r in order:
+            if r["size"] <= missing:
+                taken.add(r.id)
+                missing -= r["size"]
+        extra = [r for r in order if r.id not in taken and r["size"] < 2 * missing]
+        taken |= {min(extra, key=lambda r: (abs(r["size"] - missing), odds(r))).id} if extra else set()
+        assert {r.id: mixed[r.id].copies for r in own} == {r.id: int(copies[r.id]) + (r.id in taken) for r in own}, source
+    assert len(seen) > 20  # documents of one source have unequal probabilities
+
+
+def test_op9_many_matches(spark):
+    text = "é token=abcdef, " * 3000 + "secret: " + "0123456789abcdef" * 2
+    df = spark.createDataFrame([(1, text, "s")], "doc_id long, text string, source string")
+    got = [(r.start, r.kind, r.stop) for r in secrets.scan(df).first().base]
+    assert got == [s[:3] for s in base_spans(text)]
+    assert secrets.redact(df).first().text == "é [secret], " * 3000 + "[secret]"
+
+
+def test_op10_large_components(spark):
+    v = [(0, [600000.0, 1.0]), (1, [700000.0, 0.0]), (2, [1e12, -3.0]), (3, [-1e5, 2.0]), (50, [2.0**40, 2.0**38]), (4, [])]
+    got = {(r.query_id, r.vec_id): r.score for r in topk.top_k(spark.createDataFrame(v, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0, k=9).collect()}
+    whole = {i: [int(256 * x) for x in e] for i, e in v}
+    exact = {(q, c): sum(x * y for x, y in zip(whole[q], whole[c], strict=True)) for q in (0, 50) for c in (0, 1, 2, 3, 50) if q != c}
+    assert got == {k: max(-(1 << 63), min((1 << 63) - 1, x)) for k, x in exact.items()} and got[0, 1] == 27525120000000000
