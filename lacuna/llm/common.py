@@ -55,11 +55,11 @@ def labelled_sample(docs: DataFrame, per_label: int, label: str | None = None, k
     docs(doc_id, text) has the column `label`, or known(doc_id, y) has the labels. Copies of a text count once; rows with
     null label or text are left out. The choice depends on the rows only, not on their order or partitions. Labels meet
     text hashes, never texts: only the chosen texts leave their tasks, per_label for each label value, to the driver. Counts
-    of 65,536 ranges of hashes tell where a label's sample ends, and only rows up to there are ranked.
+    of 4,096 ranges of hashes tell where a label's sample ends, and only rows up to there are ranked.
     """
     rows = docs.where(F.col("text").isNotNull()).select("doc_id", F.col("text").alias("t"), F.xxhash64("text").alias("h"), *([F.col(label).alias("y")] if label else []))
     keys = (rows if label else rows.select("doc_id", "h").join(known, "doc_id")).where("y is not null").select("y", "h").distinct()
-    keys = cut(keys.withColumn("range", F.shiftright("h", 48)))
+    keys = cut(keys.withColumn("range", F.shiftright("h", 52)))
     upto = F.sum("n").over(Window.partitionBy("y").orderBy("range"))
     ends = keys.groupBy("y", "range").agg(F.count("*").alias("n")).withColumn("before", upto - F.col("n")).where(F.col("before") < per_label)
     ends = ends.groupBy("y").agg(F.max("range").alias("end"))  # a row for each label value
