@@ -95,8 +95,9 @@ def repeats(value: str) -> tuple[int, int, int]:
 
 
 def safe_name(label: Column) -> Column:
-    """Characters outside letters, digits, dot, dash and underscore become underscores."""
-    return F.regexp_replace(F.trim(label), r"[^A-Za-z0-9._-]+", "_")
+    """Runs outside letters, digits, dot, dash and underscore become one underscore; `dataset` where nothing is left."""
+    named = F.regexp_replace(F.regexp_replace(label, r"^\s+|\s+$", ""), r"[^A-Za-z0-9._-]+", "_")
+    return F.when(named == "", F.lit("dataset")).otherwise(named)
 
 
 def loop_label(main: Column) -> Column:
@@ -109,8 +110,8 @@ def element_case(symbol: Column) -> Column:
 
 
 def info_value(info: Column, key: str) -> Column:
-    """Case-insensitive lookup in a map of texts."""
-    return F.get(F.map_values(F.map_filter(info, lambda k, v: F.lower(k) == key.lower())), F.lit(0))
+    """Lookup in a map of texts: the key itself, else the first that differs in case alone."""
+    return F.coalesce(F.try_element_at(info, F.lit(key)), F.get(F.map_values(F.map_filter(info, lambda k, v: F.lower(k) == key.lower())), F.lit(0)))
 
 
 def info_matches(info: Column, key: str, wanted: Column) -> Column:
@@ -122,29 +123,35 @@ def info_matches(info: Column, key: str, wanted: Column) -> Column:
 
 def wall_seconds(text: Column) -> Column:
     """[D-]HH:MM:SS to seconds."""
-    part = lambda i: F.regexp_extract(text, r"(?:(\d+)-)?(\d+):(\d+):(\d+)", i)
+    part = lambda i: F.regexp_extract(text, r"(?:(\d+)-)?(\d+):(\d+):(\d+(?:\.\d+)?)", i)
     number = lambda i: F.coalesce(part(i).try_cast("double"), F.lit(0.0))
     return F.when(text.rlike(r"\d+:\d+:\d+"), number(1) * 86400 + number(2) * 3600 + number(3) * 60 + number(4))
 
 
 def runtimes(log: Column) -> Column:
-    """All seconds after `total_runtime` with a plain or a full-width colon."""
-    return F.transform(F.regexp_extract_all(log, F.lit(r"total_runtime\s*[:：]\s*([0-9]+(?:\.[0-9]+)?(?:[eE][-+]?[0-9]+)?)\s*s"), F.lit(1)), lambda x: x.cast("double"))
+    """All seconds after `total_runtime`, with a plain, a full-width or no colon; what is no number is passed over."""
+    found = F.regexp_extract_all(log, F.lit(r"total_runtime[:：]?\s*([0-9.+\-eE]+)\s*s"), F.lit(1))
+    return F.array_compact(F.transform(found, lambda x: x.try_cast("double")))
 
 
 def wall_times(log: Column) -> Column:
-    return F.transform(F.regexp_extract_all(log, F.lit(r"Total wall time:\s*((?:\d+-)?\d+:\d+:\d+)"), F.lit(1)), wall_seconds)
+    return F.transform(F.regexp_extract_all(log, F.lit(r"Total wall time:\s*((?:\d+-)?\d+:\d+:\d+(?:\.\d+)?)"), F.lit(1)), wall_seconds)
 
 
 def cores(script: Column) -> Column:
-    """Cores asked for by a job script; null if it asks for none."""
-    return F.nullif(F.regexp_extract(script, r"(?m)^#(?:BSUB|SBATCH)\s+(?:-n\s+|--ntasks[= ])(\d+)", 1), F.lit("")).cast("int")
+    """Cores asked for by a whole line of a job script, the one scheduler's before the other's; null if it asks for none."""
+    line = lambda name: F.nullif(F.regexp_extract(script, rf"(?m)^#{name} -n (\d+)$", 1), F.lit("")).cast("int")
+    return F.coalesce(line("BSUB"), line("SBATCH"))
+
+
+#: The forms in which a training log tells its mean absolute errors.
+TRAINING_FORMS = {"energy": r"Energy MAE \(meV/atom\):\s*", "force": r"Force MAE\s+\(meV/A\)\s*:\s*", "stress": r"Stress MAE\s+\(eV\)\s*:\s*"}
 
 
 def training_errors(log: Column) -> Column:
     """First mean absolute errors of energy, force and stress in a training log; null where a log has none."""
-    first = lambda name: F.nullif(F.regexp_extract(log, rf"(?i){name}[^\n]*?MAE[^0-9\n]*([0-9]+(?:\.[0-9]+)?(?:e[-+]?[0-9]+)?)", 1), F.lit("")).cast("double")
-    return F.struct(first("energy").alias("energy"), first("force").alias("force"), first("(?:stress|virial)").alias("stress"))
+    first = lambda form: F.nullif(F.regexp_extract(log, form + r"([0-9.+\-eE]+)", 1), F.lit("")).try_cast("double")
+    return F.struct(*[first(form).alias(name) for name, form in TRAINING_FORMS.items()])
 
 
 def last_error(log: Column, lines: int = 50) -> Column:
@@ -171,5 +178,15 @@ def fixed8(x: Column) -> Column:
 
 
 def glob_to_regex(pattern: str) -> str:
-    special = {"*": ".*", "?": "."}
-    return "^" + "".join(special.get(c, "\\" + c if c in ".^$+{}[]()|\\" else c) for c in pattern) + "$"
+    """A shell pattern (*, ?, [set], [!set]) as a regular expression over the whole text."""
+    out, i = [], 0
+    while i < len(pattern):
+        c, end = pattern[i], pattern.find("]", i + 2)
+        if c == "[" and end > 0:
+            inner = pattern[i + 1 : end].replace("\\", "\\\\").replace("[", "\\[").replace("&&", "&\\&").replace("^", "\\^")
+            out.append("[^" + inner[1:] + "]" if inner[0] == "!" else "[" + inner + "]")
+            i = end
+        else:
+            out.append({"*": ".*", "?": "."}.get(c, "\\" + c if c in ".^$+{}[]()|\\" else c))
+        i += 1
+    return "^(?s:" + "".join(out) + ")$"

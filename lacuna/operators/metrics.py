@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lacuna.functions.tensors import EV_PER_A3_TO_GPA, to_voigt, volume
+
 
 def value_stats(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """keys, mean, std (population), mad (around the mean), vmin, vmax and n. The mean is joined back: two passes."""
@@ -37,12 +39,27 @@ def components_long(df: DataFrame, keep: list[str], pairs: dict[str, tuple[Colum
 
 
 def positional_join(truth: DataFrame, pred: DataFrame, on: list[str]) -> DataFrame:
-    """Frames and atoms that stand at the same place; unequal row counts are an error."""
-    both = truth.join(pred, on, "full_outer")
+    """Frames and atoms that stand at the same place. Unequal row counts are an error, and so are places of one side alone,
+    found when the rows are read."""
     n = truth.count(), pred.count()
     if n[0] != n[1]:
         raise ValueError(f"truth has {n[0]} rows and prediction {n[1]}")
-    return both
+    both = truth.withColumn("_t", F.lit(1)).join(pred.withColumn("_p", F.lit(1)), on, "full_outer")
+    alone = F.raise_error(F.lit("a place is in truth or prediction alone")).cast("boolean")
+    return both.where(F.when(F.col("_t").isNull() | F.col("_p").isNull(), alone).otherwise(F.lit(True))).drop("_t", "_p")
+
+
+def stress_metrics(frames: DataFrame, truth: Column, pred: Column, cell: Column, keys: list[str] | None = None) -> DataFrame:
+    """keys, unit (eV, GPa), component (xx to xy, and all) and mae, rmse, r2, n of virials by truth and prediction, each 6 or 9
+    numbers in eV. GPa is the virial over the volume; components by themselves, and `all` over all six."""
+    keys = keys or []
+    pair = frames.select(*keys, to_voigt(truth).alias("_t"), to_voigt(pred).alias("_p"), volume(cell).alias("_v")).where("_t is not null and _p is not null")
+    names = F.array(*[F.lit(c) for c in ("xx", "yy", "zz", "yz", "xz", "xy")])
+    long = pair.select(*keys, "_v", F.explode(F.arrays_zip(names.alias("component"), F.col("_t").alias("truth"), F.col("_p").alias("pred"))).alias("x")).select(*keys, "_v", "x.*")
+    gpa = F.try_divide(F.lit(EV_PER_A3_TO_GPA), F.col("_v"))
+    units = F.explode(F.array(F.struct(F.lit("eV").alias("unit"), F.lit(1.0).alias("f")), F.struct(F.lit("GPa").alias("unit"), gpa.alias("f"))))
+    each = long.withColumn("u", units).select(*keys, "u.unit", F.explode(F.array("component", F.lit("all"))).alias("component"), (F.col("truth") * F.col("u.f")).alias("truth"), (F.col("pred") * F.col("u.f")).alias("pred"))
+    return error_metrics(each, [*keys, "unit", "component"], "truth", "pred", 1.0)
 
 
 def skip_frames(df: DataFrame, skip: list[int], index: str = "frame_idx") -> DataFrame:
@@ -74,9 +91,13 @@ def ambiguity_matrix(per_atom: DataFrame, elements: list, frame: str = "structur
     return every.join(found, [frame, elem], "left").fillna({"amb_max": 0.0})
 
 
-def adaptive_threshold(matrix: DataFrame, low_factor: float, limit: float | dict, factor: float, by_element: bool = False, elem: str = "elem"):
-    """Threshold and new limit. The largest disagreement times low_factor; a threshold above the limit raises the limit by
+def adaptive_threshold(matrix: DataFrame | None, low_factor: float, limit: float | dict, factor: float, by_element: bool = False, elem: str = "elem", default: float | None = None, generation: int = 1):
+    """Threshold and new limit; the default in generation 0 and where nothing was selected before (matrix None). The largest disagreement times low_factor; a threshold above the limit raises the limit by
     `factor` once and is clamped to it. By element, each has its own. Returns (threshold, limit, clamped)."""
+    if matrix is None or generation == 0:
+        if default is None:
+            raise ValueError("generation 0 and a missing selection need a default")
+        return default, limit, False
     found = {r[elem]: r["t"] * low_factor for r in matrix.groupBy(elem).agg(F.max("amb_max").alias("t")).collect()}  # one number per element
     if by_element:
         limits = {e: limit[e] * factor if t > limit[e] else limit[e] for e, t in found.items()}

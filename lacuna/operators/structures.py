@@ -87,22 +87,38 @@ def downsample(df: DataFrame, n: int, idx: str, seed: int) -> DataFrame:
     return df.orderBy(F.xxhash64(F.col(idx), F.lit(seed)), idx).limit(n).orderBy(idx)
 
 
-def select_structures(df: DataFrame, selectors: list[str], name: str = "name", idx: str = "idx") -> DataFrame:
-    """all, first, index:N, exact names and globs: rows in order of selector and place, each once."""
+def selectors_of(wanted: str | list[str] | None) -> list[str]:
+    """Selectors from a text or texts with commas; `all` where there is none."""
+    items = [wanted] if isinstance(wanted, str) else [str(x) for x in wanted or []]
+    return [p for x in items for part in x.split(",") if (p := part.strip())] or ["all"]
+
+
+def select_structures(df: DataFrame, selectors: str | list[str] | None, name: str = "name", idx: str = "idx", frame: str | None = None) -> DataFrame:
+    """Rows in order of selector and place, each once. Selectors: all, first (in any case), index:N, or a text or shell pattern
+    that equals the name, its last path part, that without its ending, or name:frame. A selector without rows is an error."""
+    wanted = selectors_of(selectors)
+    if "all" in [s.lower() for s in wanted]:
+        wanted = ["all"]
+    base = F.regexp_replace(F.col(name), r"^.*/", "")
+    known = [F.col(name), base, F.regexp_replace(base, r"(?<=.)\.[^.]*$", "")]
+    known += [F.concat(k, F.lit(":"), F.col(frame).cast("string")) for k in known[:2]] if frame else []
     hits = []
-    for pos, s in enumerate(selectors):
-        if s == "all":
-            hit = F.lit(True)
-        elif s == "first":
-            hit = F.col(idx) == 0
-        elif s.startswith("index:"):
-            hit = F.col(idx) == int(s[6:])
-        elif any(c in s for c in "*?"):
-            hit = F.col(name).rlike(glob_to_regex(s))
+    for s in wanted:
+        if s.lower() == "all":
+            hits.append(F.lit(True))
+        elif s.lower() == "first":
+            hits.append(F.col(idx) == 0)
+        elif s.lower().startswith("index:"):
+            if not s[6:].strip().lstrip("+-").isdigit():
+                raise ValueError(f"not a place: {s!r}")
+            hits.append(F.col(idx) == int(s[6:]))
         else:
-            hit = F.col(name) == s
-        hits.append(F.when(hit, F.lit(pos)))
-    return df.withColumn("selector_pos", F.array_min(F.array(*hits))).where("selector_pos is not null").orderBy("selector_pos", idx)
+            hits.append(F.coalesce(F.exists(F.array(*known), lambda k: (k == s) | k.rlike(glob_to_regex(s))), F.lit(False)))  # noqa: B023
+    counts = df.agg(*[F.count_if(h).alias(f"n{i}") for i, h in enumerate(hits)]).first()
+    if nothing := [s for s, n in zip(wanted, counts, strict=True) if not n and s.lower() != "all"]:
+        raise ValueError(f"selectors without structures: {nothing}")
+    places = F.array_min(F.array(*[F.when(h, F.lit(i)) for i, h in enumerate(hits)]))
+    return df.withColumn("selector_pos", places).where("selector_pos is not null").orderBy("selector_pos", idx)
 
 
 def fingerprint(symbols: Column, positions: Column, cell: Column) -> Column:

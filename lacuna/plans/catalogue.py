@@ -84,9 +84,9 @@ JOIN (SELECT elem, count(*) AS n_query, count(*) FILTER (WHERE NOT covered) AS n
 def event_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     ref, cand = split(event_values(spark, sf_dir))
     of = stats.dim_stats(ref, ED)
-    zero = histogram.low_intervals(histogram.counts(ref, of, ED))
-    labelled = intervals.label_covered(cand, of, zero, ED)
-    n_zero = histogram.counts(ref, of, ED).groupBy("elem").agg(F.count_if(F.col("freq") <= 0).alias("n_zero_bins"))
+    bins = histogram.counts(ref, of, ED)
+    labelled = intervals.label_covered(cand, of, histogram.low_intervals(bins), ED)
+    n_zero = bins.groupBy("elem").agg(F.count_if(F.col("freq") <= 0).alias("n_zero_bins"))
     by = labelled.groupBy("elem").agg(F.count("*").alias("n_query"), F.count_if(~F.col("covered")).alias("n_uncovered"))
     rate = coverage.coverage_rate(labelled, ["elem"])
     out = of.join(n_zero, "elem").join(by, "elem").join(rate, "elem")
@@ -358,7 +358,8 @@ def topk_in_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select.topk_in_cluster(x, "label", "v", "vec_id", k).withColumn("v", r("v"))
 
 
-@query()
+@query("""WITH n AS (SELECT event_type AS elem, count(DISTINCT user_id) AS n FROM events GROUP BY elem)
+SELECT elem, k::INTEGER AS label_pos, n, round_even((k + 1) / 5.0::DOUBLE * n, 0)::BIGINT AS n_shown FROM n, range(4) t(k)""")
 def monotonic_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = event_values(spark, sf_dir)
     week = F.floor(F.date_diff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date")) / 7).cast("int")
@@ -465,12 +466,15 @@ def loop_select_middle_half(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labels.where(F.col("main").isin(wanted)).select(F.col("main").cast("int").alias("main"))
 
 
-@query("""WITH o AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS i FROM orders),
-s AS (SELECT main, sum(cnt) OVER (ORDER BY main) AS hi, sum(cnt) OVER (ORDER BY main) - cnt AS lo FROM (VALUES (-1, 100), (0, 50), (1, 75)) t(main, cnt))
-SELECT o_orderkey, coalesce(main, -9) AS main FROM o LEFT JOIN s ON i >= lo AND i < hi""")
+@query("""WITH o AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS i FROM orders), c AS (SELECT year(o_orderdate)::INTEGER - 1993 AS main, count(*) AS cnt FROM orders GROUP BY main),
+s AS (SELECT main, sum(cnt) OVER (ORDER BY main) AS hi, sum(cnt) OVER (ORDER BY main) - cnt AS lo FROM c)
+SELECT o_orderkey, main FROM o JOIN s ON i >= lo AND i < hi""")
 def segment_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = lineage._placed(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey").select("o_orderkey", F.col("_at").alias("frame_idx"))
-    return lineage.segment_labels(at, spark.createDataFrame([(-1, 100), (0, 50), (1, 75)], "main int, cnt long")).select("o_orderkey", F.coalesce("main", F.lit(-9)).alias("main"))
+    """Segments as long as the orders of each year, one after another over all orders."""
+    o = table(spark, sf_dir, "orders")
+    at = lineage._placed(o.select("o_orderkey"), "o_orderkey").select("o_orderkey", F.col("_at").alias("frame_idx"))
+    counts = o.groupBy((F.year("o_orderdate") - 1993).alias("main")).agg(F.count("*").alias("cnt"))
+    return lineage.segment_labels(at, counts).select("o_orderkey", "main")
 
 
 @query("SELECT doc_id, (ntile(7) OVER (ORDER BY doc_id) - 1)::INTEGER AS chunk FROM documents")
@@ -519,9 +523,9 @@ def core_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.core_hours(logs).select(F.coalesce("category", F.lit("total")).alias("category"), "n_files", r("core_hours").alias("core_hours"), F.size("missing").cast("long").alias("n_missing"))
 
 
-@query("SELECT DISTINCT n_nationkey AS elem FROM nation WHERE n_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_suppkey % 3 = 0)")
+@query("SELECT DISTINCT n_nationkey AS elem FROM nation WHERE n_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000)")
 def elements_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    there = table(spark, sf_dir, "supplier").where("s_suppkey % 3 = 0").select(F.col("s_nationkey").alias("elem"))
+    there = table(spark, sf_dir, "supplier").where("s_acctbal > 5000").select(F.col("s_nationkey").alias("elem"))
     return structures.missing_elements(table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("elem")), there)
 
 
@@ -537,10 +541,10 @@ def info_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").where(text.info_matches(info, "K", F.lit("7.0"))).groupBy("event_type").agg(F.count("*").alias("n"))
 
 
-@query("SELECT n_nationkey AS k FROM nation WHERE n_regionkey = 1 INTERSECT SELECT c_nationkey FROM customer WHERE c_custkey % 2 = 0")
+@query("SELECT n_nationkey AS k FROM nation WHERE n_regionkey = 1 INTERSECT SELECT c_nationkey FROM customer WHERE c_acctbal < 0")
 def set_intersection(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = table(spark, sf_dir, "nation").where("n_regionkey = 1").select(F.col("n_nationkey").alias("k"))
-    return a.intersect(table(spark, sf_dir, "customer").where("c_custkey % 2 = 0").select("c_nationkey"))
+    return a.intersect(table(spark, sf_dir, "customer").where("c_acctbal < 0").select("c_nationkey"))
 
 
 @query("SELECT s_nationkey AS k, count(*) AS n FROM (SELECT s_nationkey FROM supplier UNION ALL SELECT c_nationkey FROM customer) GROUP BY k")
@@ -549,10 +553,12 @@ def union_all_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.unionByName(b).groupBy("k").agg(F.count("*").alias("n"))
 
 
-@query("SELECT (o_orderkey // 200)::BIGINT AS config, count(*) AS n FROM orders WHERE o_orderkey < 2000 GROUP BY config")
+@query("SELECT (o_orderkey // (m // 10 + 1))::BIGINT AS config, count(*) AS n FROM orders, (SELECT max(o_orderkey) AS m FROM orders) GROUP BY config")
 def configuration_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spans = spark.createDataFrame([(i, 200 * i, 200 * i + 200) for i in range(10)], "config long, start long, stop long")
+    """Ten spans of ids over all orders."""
     o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("structure_id"))
+    width = F.floor(F.max("structure_id") / 10) + 1
+    spans = o.agg(width.alias("w")).select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(9).cast("long"))).alias("config"), "w").select("config", (F.col("config") * F.col("w")).alias("start"), ((F.col("config") + 1) * F.col("w")).alias("stop"))
     return lineage.configuration_of(o, spans).groupBy("config").agg(F.count("*").alias("n"))
 
 
@@ -579,3 +585,5 @@ def order_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 assert adapters.SPLIT == "2024-01-16"  # the SQL above has it as a literal
+
+from lacuna.plans import rules  # noqa: E402, F401  registers more queries

@@ -11,7 +11,8 @@ GRID_SOURCES = ("query", "current-loop", "last-loop", "combined")
 
 
 def coverage_report(dataset: DataFrame, query: DataFrame, loops: str = "all", fit_source: str = "combined", grid_source: str = "query", factor: float = 1.0) -> DataFrame:
-    """label_pos, label, elem, n_query, coverage_2d, coverage_1d, explained for each selected version and element.
+    """label_pos, label, elem, n_query, n_covered_2d, coverage_2d, coverage_1d, mean_covered_1d and explained for each selected
+    version and element. Data of fewer than two features, or of unequal numbers of them, are an error.
 
     dataset(structure_id, atom_idx, elem, features, main), query(structure_id, atom_idx, elem, features). One model of two
     components for each element, fitted on the query, the dataset or both; the grid comes from the named source, where
@@ -23,6 +24,9 @@ def coverage_report(dataset: DataFrame, query: DataFrame, loops: str = "all", fi
     wanted = lineage.select_loops([r.main for r in found.collect()], loops)
     labels = found.where(F.col("main").isin(wanted))
     base = ["structure_id", "atom_idx", "elem", "features"]
+    widths = query.select("elem", F.size("features").alias("w")).union(dataset.select("elem", F.size("features").alias("w"))).groupBy("elem").agg(F.min("w").alias("low"), F.max("w").alias("high"))
+    if wrong := [r["elem"] for r in widths.where("low <> high or low < 2").limit(20).collect()]:
+        raise ValueError(f"elements with unequal or fewer than two features: {wrong}")
     fit_on = {"query": query.select(base), "input": dataset.select(base), "combined": query.select(base).union(dataset.select(base))}[fit_source]
     models = pca.fit(fit_on, "features", "elem")
 
@@ -47,8 +51,8 @@ def coverage_report(dataset: DataFrame, query: DataFrame, loops: str = "all", fi
         both = coverage.grid_coverage(flat(q), flat(upto), coverage.grid_stats(flat(grid_of), ["elem"], "dim", "value", factor), ["elem"], "dim", "value", point)
         wide = lambda df: long(df, "features", ["elem"])
         single = coverage.mean_1d_coverage(coverage.grid_coverage_1d(wide(q), wide(upto), coverage.grid_stats(wide(grid_of), ["elem"], "dim", "value", factor), ["elem"], "dim", "value"), ["elem"])
-        part = both.select("elem", "n_query", F.col("coverage").alias("coverage_2d")).join(single.select("elem", F.col("coverage").alias("coverage_1d")), "elem", "left")
-        part = part.select(F.lit(r.label_pos).alias("label_pos"), F.lit(r.label).alias("label"), "elem", "n_query", "coverage_2d", "coverage_1d")
+        part = both.select("elem", "n_query", F.col("n_covered").alias("n_covered_2d"), F.col("coverage").alias("coverage_2d")).join(single.select("elem", F.col("coverage").alias("coverage_1d"), F.col("mean_covered").alias("mean_covered_1d")), "elem", "left")
+        part = part.select(F.lit(r.label_pos).alias("label_pos"), F.lit(r.label).alias("label"), "elem", "n_query", "n_covered_2d", "coverage_2d", "coverage_1d", "mean_covered_1d")
         out = part if out is None else out.union(part)
     names = dataset.sparkSession.createDataFrame([(e, m.explained) for e, m in models.items()], f"elem {dataset.schema['elem'].dataType.simpleString()}, explained double")
     return out.join(F.broadcast(names), "elem", "left").orderBy("label_pos", "elem")

@@ -378,3 +378,40 @@ def test_reduce_properties(spark):
     assert len(guided) == 120
     assert all(r.selected for r in reduce.candidate_only(df, current=df.limit(0)).collect())
     assert reduce.candidate_only(df.limit(0), current=df).count() == 0
+
+
+def test_log_forms(spark):
+    rows = [("total_runtime: 1.5 s\ntotal_runtime：2 s\ntotal_runtime 3e1 s\ntotal_runtime: 1.2.3 s",), ("Total wall time: 2-01:00:01.5",), ("nothing",)]
+    got = spark.createDataFrame(rows, "log string").select(text.runtimes(F.col("log")).alias("r"), text.wall_times(F.col("log")).alias("w")).collect()
+    assert [r.r for r in got] == [[1.5, 2.0, 30.0], [], []] and [r.w for r in got] == [[], [2 * 86400 + 3600 + 1.5], []]
+    scripts = ["#SBATCH -n 4\n#BSUB -n 8\n", "#SBATCH -n 4\n", "#SBATCH -n 4 # all\n", "#SBATCH --ntasks=4\n", " #BSUB -n 2"]
+    assert [r.c for r in spark.createDataFrame([(x,) for x in scripts], "s string").select(text.cores(F.col("s")).alias("c")).collect()] == [8, 4, None, None, None]
+    logs = [("Energy MAE (meV/atom): 1.5\nForce MAE   (meV/A)  : 2e1\nStress MAE (eV): 3",), ("energy MAE: 4\nForce MAE (eV/A): 5",)]
+    assert [tuple(r.e) for r in spark.createDataFrame(logs, "log string").select(text.training_errors(F.col("log")).alias("e")).collect()] == [(1.5, 20.0, 3.0), (None, None, None)]
+
+
+def test_lookup_and_names(spark):
+    df = spark.createDataFrame([({"KEY": "1", "key": "2"}, "  "), ({"KEY": "1"}, "/a b/ "), ({"x": "1"}, "ok-1.x")], "info map<string,string>, label string")
+    got = df.select(text.info_value(F.col("info"), "key").alias("v"), text.safe_name(F.col("label")).alias("n")).collect()
+    assert [(r.v, r.n) for r in got] == [("2", "dataset"), ("1", "_a_b_"), (None, "ok-1.x")]
+
+
+def test_selectors(spark):
+    df = spark.createDataFrame([(0, "dir/a.cif", 1), (1, "dir/b.cif", 1), (2, "dir/b.cif", 2), (3, "c1.xyz", 1)], "idx int, name string, frame int")
+    pick = lambda s: [r.idx for r in structures.select_structures(df, s, frame="frame").collect()]
+    assert pick("b.cif:2, FIRST") == [2, 0] and pick(["b"]) == [1, 2] and pick("c[0-9].xyz,a.cif") == [3, 0] and pick(None) == pick("first,ALL") == [0, 1, 2, 3]
+    assert pick("[!c]*") == [0, 1, 2]
+    for wrong in ("nothing", "index:9", "index:x", "B.cif"):
+        with pytest.raises(ValueError):
+            pick(wrong)
+
+
+def test_positional_join_needs_equal_places(spark):
+    with pytest.raises(Exception, match="truth or prediction alone"):
+        metrics.positional_join(spark.range(3), spark.range(1, 4), ["id"]).collect()
+
+
+def test_threshold_default(spark):
+    assert metrics.adaptive_threshold(None, 0.8, 2.0, 1.1, default=0.3) == (0.3, 2.0, False)
+    with pytest.raises(ValueError):
+        metrics.adaptive_threshold(None, 0.8, 2.0, 1.1)
