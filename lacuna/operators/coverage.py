@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lacuna.functions.numeric import grid_bins, isclose
+from lacuna.operators.stats import order_statistics
 
 
 def coverage_rate(labelled: DataFrame, elem: list[str], dim: str = "dim", how: str = "mean") -> DataFrame:
@@ -45,10 +46,10 @@ def selected_by_config(structure_config: DataFrame, selected: DataFrame) -> Data
 
 def grid_stats(df: DataFrame, keys: list[str], dim: str, value: str, factor: float = 1.0) -> DataFrame:
     """keys, dim, gmin, gmax, gbins and gwidth of a coverage grid."""
-    q = F.percentile(F.col(value), F.array(F.lit(0.25), F.lit(0.75)))
-    out = df.groupBy(*keys, dim).agg(F.count(value).alias("n"), F.min(value).alias("gmin"), F.max(value).alias("gmax"), q.alias("q"))
+    ends = df.groupBy(*keys, dim).agg(F.count(value).alias("n"), F.min(value).alias("gmin"), F.max(value).alias("gmax"))
+    out = ends.join(order_statistics(df, [*keys, dim], value, (0.25, 0.75)), [*keys, dim], "left")
     span = F.col("gmax") - F.col("gmin")
-    out = out.withColumn("gbins", grid_bins(F.col("n"), span, F.col("q")[1] - F.col("q")[0], factor))
+    out = out.withColumn("gbins", grid_bins(F.col("n"), span, F.col("q1") - F.col("q0"), factor))
     return out.select(*keys, dim, "gmin", "gmax", "gbins", (span / F.col("gbins")).alias("gwidth"))
 
 

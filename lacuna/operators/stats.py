@@ -1,7 +1,7 @@
 """Per-dimension statistics and bin counts of a long table, one row per value.
 
-Keys are any grouping columns, usually (body, elem, dim). One shuffle on the keys; `percentile` is exact and keeps a map of
-different values, so a group's distinct values must fit a task. For larger groups `order_statistics` ranks instead.
+Keys are any grouping columns, usually (body, elem, dim). Counts, ends and deviations are one partial aggregation on the keys.
+Quantiles are exact without a task that holds a key's values: see `order_statistics`.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from lacuna.functions import numeric
 
 METHODS = ("fd", "scott", "std", "self_input")
+#: Parts of a key's range that are counted to find its quantiles.
+CELLS = 4096
 
 
 def explode_features(df: DataFrame, features: str = "features", keep: list[str] | None = None) -> DataFrame:
@@ -30,11 +32,10 @@ def dim_stats(df: DataFrame, keys: list[str], value: str = "value", method: str
     v = F.col(value)
     # min and max of doubles order NaN last; a NaN would poison the bins, so it is refused as the reference's histogram does
     checked = F.when(F.isnan(v), F.raise_error(F.lit("NaN in a histogram dimension"))).otherwise(v)
-    out = df.where(v.isNotNull()).withColumn(value, checked.cast("double")).groupBy(*keys).agg(
-        F.count("*").alias("n"), F.min(value).alias("vmin"), F.max(value).alias("vmax"), F.percentile(v, F.array(F.lit(0.25), F.lit(0.75))).alias("q"), F.stddev_pop(value).alias("sigma")
-    )
-    out = out.select(*keys, "n", "vmin", "vmax", F.col("q")[0].alias("q25"), F.col("q")[1].alias("q75"), "sigma")
-    return with_bins(out, method, factor, width)
+    rows = df.where(v.isNotNull()).withColumn(value, checked.cast("double"))
+    ends = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.min(value).alias("vmin"), F.max(value).alias("vmax"), F.stddev_pop(value).alias("sigma"))
+    q = order_statistics(rows, keys, value, (0.25, 0.75)).withColumnsRenamed({"q0": "q25", "q1": "q75"})
+    return with_bins(ends.join(q, keys).select(*keys, "n", "vmin", "vmax", "q25", "q75", "sigma"), method, factor, width)
 
 
 def with_bins(stats: DataFrame, method: str, factor: float = 1.0, width: float | None = None) -> DataFrame:
@@ -61,20 +62,32 @@ def fixed_width_stats(df: DataFrame, width_table: DataFrame, keys: list[str], va
 
 
 def order_statistics(df: DataFrame, keys: list[str], value: str, quantiles: tuple[float, ...]) -> DataFrame:
-    """Linear-interpolated quantiles of groups too large for `percentile`: values are counted first, so that only distinct
-    values are ranked. keys and one column q0, q1, ... for each quantile."""
-    counts = df.groupBy(*keys, value).agg(F.count("*").alias("c"))
-    upto = F.sum("c").over(Window.partitionBy(*keys).orderBy(value))
-    total = F.sum("c").over(Window.partitionBy(*keys))
-    ranked = counts.withColumns({"upto": upto, "total": total})
-
-    def at(q: float, side) -> Column:
-        return F.min(F.when(F.col("upto") > side((F.col("total") - 1) * F.lit(float(q))), F.col(value)))
-
-    def between(q: float) -> Column:
-        place = (F.max("total") - 1) * F.lit(float(q))
-        return at(q, F.floor) + (at(q, F.ceil) - at(q, F.floor)) * (place - F.floor(place))
-
+    """Exact linear-interpolated quantiles: keys and one column q0, q1, ... for each quantile.
+
+    Counts in CELLS equal parts of a key's range tell which parts hold the values looked for; only the different values of
+    these parts are ranked. A key's rows are never in one task, however many they are. Nulls do not count.
+    """
+    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
+    ends = rows.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+    share = F.try_divide(F.col("_v") - F.col("_low"), F.col("_high") - F.col("_low"))
+    # infinite ends make the share NaN, for the largest values or for all: their cell is the last
+    cell = F.when(F.isnan(share), F.lit(CELLS - 1)).otherwise(F.least(F.floor(F.coalesce(share, F.lit(0.0)) * CELLS), F.lit(CELLS - 1))).cast("int")
+    rows = rows.join(ends, keys).withColumn("_cell", cell)
+    counts = rows.groupBy(*keys, "_n", "_cell").agg(F.count("*").alias("_c"))
+    upto = F.sum("_c").over(Window.partitionBy(*keys).orderBy("_cell"))  # CELLS rows a key at most
+    counts = counts.withColumn("_before", upto - F.col("_c"))
+    places = sorted({f for q in quantiles for f in ((q, "floor"), (q, "ceil"))})
+    place = lambda q, side: getattr(F, side)((F.col("_n") - 1) * F.lit(float(q)))
+    holds = F.lit(False)
+    for q, side in places:
+        holds = holds | ((F.col("_before") <= place(q, side)) & (place(q, side) < F.col("_before") + F.col("_c")))
+    some = rows.join(counts.where(holds).select(*keys, "_cell", "_before"), [*keys, "_cell"])
+    values = some.groupBy(*keys, "_n", "_cell", "_before", "_v").agg(F.count("*").alias("_c"))
+    upto = F.col("_before") + F.sum("_c").over(Window.partitionBy(*keys, "_cell").orderBy("_v"))
+    ranked = values.withColumn("_upto", upto)
+    at = lambda q, side: F.min(F.when((F.col("_upto") - F.col("_c") <= place(q, side)) & (place(q, side) < F.col("_upto")), F.col("_v")))
+    exact = lambda q: (F.max("_n") - 1) * F.lit(float(q))
+    between = lambda q: F.when(at(q, "floor") == at(q, "ceil"), at(q, "floor")).otherwise(at(q, "floor") + (at(q, "ceil") - at(q, "floor")) * (exact(q) - F.floor(exact(q))))
     return ranked.groupBy(*keys).agg(*[between(q).alias(f"q{i}") for i, q in enumerate(quantiles)])
 
 

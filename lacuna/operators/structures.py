@@ -50,11 +50,18 @@ def distinct_elements(structures: DataFrame) -> DataFrame:
 
 def force_filter(frames: DataFrame, threshold: float, group: list[str] | None = None, max_f: str = "max_f", order: str = "frame_idx") -> DataFrame:
     """Frames with a largest force strictly below the threshold; a group without any keeps its first frame of least force."""
-    group = group or []
-    w = Window.partitionBy(*(group or [F.lit(0)]))
-    n = F.count_if(F.col(max_f) < threshold).over(w)
-    r = F.row_number().over(w.orderBy(F.col(max_f), order))
-    return frames.withColumns({"_n": n, "_r": r}).where((F.col(max_f) < threshold) | ((F.col("_n") == 0) & (F.col("_r") == 1))).drop("_n", "_r")
+    group, key = group or [], F.struct(max_f, order)
+    least = frames.groupBy(*group).agg(F.count_if(F.col(max_f) < threshold).alias("_n"), F.min(key).alias("_least"))
+    if group:
+        same = F.lit(True)
+        for c in group:
+            same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+        joined = frames.join(least.withColumnsRenamed({c: f"_of_{c}" for c in group}), same).drop(*[f"_of_{c}" for c in group])
+    else:
+        joined = frames.crossJoin(F.broadcast(least))  # one row
+    first = F.row_number().over(Window.partitionBy(*(group or [F.lit(0)])).orderBy(order))  # of frames equal in force and order
+    equal = joined.where((F.col("_n") == 0) & (key == F.col("_least"))).withColumn("_r", first).where("_r = 1").drop("_n", "_least", "_r")
+    return joined.where(F.col(max_f) < threshold).drop("_n", "_least").unionByName(equal)
 
 
 def force_at_most(frames: DataFrame, threshold: float, forces: str = "forces") -> DataFrame:

@@ -96,17 +96,20 @@ def reference_guided(candidate: DataFrame, chunk_size: int, binning: Binning = B
             raise ValueError("fixed widths need interval_ref or current")
         widths = stats.widths(stats_of(long_values(source), binning), KEYS)
     structures = lineage.reduce_chunks(ids(values), n := ids(values).count(), chunk_size, "structure_id")
-    chosen: list = []
+    chosen = stored(ids(values).limit(0))
     has_base = bool(base.head(1))
     for k in range(max(1, n // chunk_size) if n else 0):
         chunk = values.join(structures.where(F.col("chunk") == k).select("structure_id"), "structure_id", "left_semi")
-        picked_so_far = _id_table(values, chosen)
-        reference = base.unionByName(values.join(picked_so_far, "structure_id", "left_semi"))
-        reference = reference if has_base or chosen else chunk
-        chosen += [r[0] for r in select_guided(reference, chunk, binning, widths).collect()]  # state of the fold: selected ids
-    return flagged(values, _id_table(values, chosen))
-
-
-def _id_table(values: DataFrame, chosen: list) -> DataFrame:
-    kind = values.schema["structure_id"].dataType.simpleString()
-    return values.sparkSession.createDataFrame([(x,) for x in sorted(set(chosen))], f"structure_id {kind}")
+        reference = base.unionByName(values.join(chosen, "structure_id", "left_semi"))
+        reference = reference if has_base or chosen.head(1) else chunk
+        chosen = stored(chosen.union(select_guided(reference, chunk, binning, widths)))  # state of the fold: selected ids
+    return flagged(values, chosen)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df without its lineage, in the shared checkpoint folder where one is set."""
+    context = df.sparkSession.sparkContext
+    folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+    if not context._jsc.sc().getCheckpointDir().isDefined() and folder:
+        context.setCheckpointDir(folder)
+    return df.checkpoint() if context._jsc.sc().getCheckpointDir().isDefined() else df.persist()
