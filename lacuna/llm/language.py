@@ -4,7 +4,8 @@ The network reads the UTF-8 bytes of a lower-cased word in both directions and l
 probabilities; a document's probabilities are the mean over the bytes of its letters. Words are the network's sequences
 (longer ones go in runs of RUN bytes), so the result of a word does not depend on what stands around it, and each worker
 computes a word once and remembers its summed probabilities, up to MEMO_WORDS words. Training is back-propagation
-through time in numpy on the driver, over at most `per_label` different texts of each language.
+through time in numpy on the driver, over at most `per_label` different texts of each language. Every run of the sample is
+learnt from; languages with fewer bytes than the mean weigh more in the loss, up to RARE times.
 
 Defined results: a null text, or one without letters, is `und` with score 0; so is every text if nothing is labelled.
 Repeated rows get equal rows; an empty table gives no rows; other columns of the input are ignored.
@@ -28,6 +29,8 @@ MEMO_WORDS = 500_000
 #: Documented bound of the training sample: different texts of each language, and words of each of them.
 PER_LABEL, WORDS_A_TEXT = 400, 120
 HIDDEN = 20
+#: Greatest weight of a language's bytes in the loss.
+RARE = 20.0
 _ASCII_LETTER = re.compile("[A-Za-z]")
 
 
@@ -111,20 +114,22 @@ class ByteNetwork:
         e = np.exp(z - z.max(axis=2, keepdims=True))
         return e / e.sum(axis=2, keepdims=True)
 
-    def gradients(self, codes: np.ndarray, mask: np.ndarray, label: np.ndarray) -> dict[str, np.ndarray]:
-        """Of the mean cross-entropy over all bytes."""
+    def gradients(self, codes: np.ndarray, mask: np.ndarray, label: np.ndarray, weight: np.ndarray | None = None) -> dict[str, np.ndarray]:
+        """Of the mean cross-entropy over all bytes, those of a run weighed by its label's weight."""
         kept: dict[str, list] = {"f": [], "b": []}
         both = np.concatenate([self.layer(codes, mask, way, kept[way]) for way in "fb"], axis=2)
         g = self.softmax(both)
         g[:, np.arange(len(label)), label] -= 1
         g *= mask.T[:, :, None] / mask.sum()
+        if weight is not None:
+            g *= weight[label].astype(np.float32)[None, :, None]
         out = {"o": np.einsum("tnh,tnl->hl", both, g), "d": g.sum(axis=(0, 1))}
         states = g @ self.p["o"].T
         self.back(codes, "f", kept["f"], states[:, :, : self.hidden], out)
         self.back(codes, "b", kept["b"], states[:, :, self.hidden :], out)
         return out
 
-    def fit(self, runs: list[bytes], label: np.ndarray, epochs: int = 3, batch: int = 256, rate: float = 0.01, seed: int = 3) -> None:
+    def fit(self, runs: list[bytes], label: np.ndarray, weight: np.ndarray, epochs: int = 3, batch: int = 256, rate: float = 0.01, seed: int = 3) -> None:
         """Adam with gradients clipped by their norm, over batches of runs of like length."""
         rng = np.random.default_rng(seed)
         m, v, step = {k: np.zeros_like(x) for k, x in self.p.items()}, {k: np.zeros_like(x) for k, x in self.p.items()}, 0
@@ -134,7 +139,7 @@ class ByteNetwork:
             for i in rng.permutation(len(batches)):
                 pick = batches[i]
                 codes, mask = padded([runs[j] for j in pick])
-                grads, step = self.gradients(codes, mask, label[pick]), step + 1
+                grads, step = self.gradients(codes, mask, label[pick], weight), step + 1
                 norm = sum(float((g * g).sum()) for g in grads.values()) ** 0.5
                 for k, g in grads.items():
                     g = g / max(1.0, norm)
@@ -204,10 +209,8 @@ def train(sample: list[tuple[str, str]], words_a_text: int = WORDS_A_TEXT, seed:
                 label.append(labels.index(y))
     network = ByteNetwork(max(1, len(labels)))
     if runs:
-        counts = np.bincount(label, minlength=len(labels))
-        rarest = max(2_000, counts.min())  # languages with far more words than others would win all doubtful bytes
-        keep = np.concatenate([rng.permutation(np.flatnonzero(np.array(label) == k))[: 2 * rarest] for k in range(len(labels))])
-        network.fit([runs[i] for i in keep], np.array(label)[keep])
+        size = np.bincount(label, weights=[len(x) for x in runs], minlength=len(labels))  # else common languages win all doubtful bytes
+        network.fit(runs, np.array(label), np.minimum(RARE, size.mean() / np.maximum(1, size)))
     return Identifier(labels, network)
 
 

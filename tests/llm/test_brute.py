@@ -564,3 +564,38 @@ def test_op10_large_components(spark):
     whole = {i: [int(256 * x) for x in e] for i, e in v}
     exact = {(q, c): sum(x * y for x, y in zip(whole[q], whole[c], strict=True)) for q in (0, 50) for c in (0, 1, 2, 3, 50) if q != c}
     assert got == {k: max(-(1 << 63), min((1 << 63) - 1, x)) for k, x in exact.items()} and got[0, 1] == 27525120000000000
+
+
+def test_network_gradients_weighted():
+    net = language.ByteNetwork(3, hidden=4)
+    net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    codes, mask = language.padded([b"abc", b"de", b"zabx"])
+    label, weight = np.array([0, 1, 2]), np.array([0.5, 3.0, 1.0])
+    grads = net.gradients(codes, mask, label, weight)
+
+    def loss():
+        p = net.probabilities(codes, mask)
+        return -(weight[label][:, None] * np.log(p[np.arange(3), :, label]) * mask).sum() / mask.sum()
+
+    for key, at in (("o", (0, 1)), ("d", (2,)), ("hf", (1, 5)), ("hb", (2, 9)), ("xf", (ord("d"), 3)), ("cb", (7,))):
+        value, keep = net.p[key], net.p[key][at]
+        value[at] = keep + 1e-3
+        up = loss()
+        value[at] = keep - 1e-3
+        down = loss()
+        value[at] = keep
+        assert abs((up - down) / 2e-3 - grads[key][at]) < 2e-3, key
+
+
+def test_op3_rare_language(spark, docs):
+    """Thirty texts of one language beside hundreds of the others: all runs are learnt from, the rare one is still told."""
+    rows = docs.where("lang is not null").select("lang", "text").collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r.lang, []).append(r.text)
+    rare = min(by)
+    size = {y: 30 if y == rare else len(texts) // 2 for y, texts in by.items()}
+    found = language.train([(t, y) for y, texts in sorted(by.items()) for t in texts[: size[y]]])
+    for y, texts in by.items():
+        left = [t for t in texts[size[y] :] if language.has_letter(t)]
+        assert left and np.mean([p == y for p, _ in found.predict(left)]) > 0.9, y
