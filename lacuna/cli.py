@@ -68,13 +68,18 @@ def hours_command(config: dict) -> None:
 
     from lacuna.functions import text
     from lacuna.operators import metrics
+    from lacuna.sources.writers import hours_text
 
     spark = _session()
     logs = None
     for category, path in sorted(config["categories"].items()):
         part = spark.read.text(path, wholetext=True).select(F.lit(category).alias("category"), F.col("_metadata.file_path").alias("path"), F.concat(text.runtimes(F.col("value")), text.wall_times(F.col("value"))).alias("seconds"), F.coalesce(text.cores(F.col("value")), F.lit(config.get("cores"))).cast("int").alias("cores"))
         logs = part if logs is None else logs.union(part)
-    metrics.core_hours(logs).write.mode(config.get("write_mode", "errorifexists")).json(config["output"])
+    hours = metrics.core_hours(logs)
+    if config.get("format", "json") == "text":
+        Path(config["output"]).write_text(hours_text(hours), encoding="utf-8")
+    else:
+        hours.write.mode(config.get("write_mode", "errorifexists")).json(config["output"])
 
 
 COMMANDS = {"reduce": reduce_command, "coverage-report": coverage_command, "efs-stats": efs_command, "plot-errors": errors_command, "core-hours": hours_command}

@@ -10,9 +10,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lacuna.operators import lineage
+from lacuna.operators.stats import stored
+
 LOCAL_PAIRS = 50_000_000
 
 
@@ -22,9 +25,10 @@ def frequencies(memberships: DataFrame) -> DataFrame:
 
 
 def cover_rank(memberships: DataFrame) -> DataFrame:
-    """structure_id, freq, first_seen and rank from 0. memberships: class_seq, structure_id, atom_idx."""
+    """structure_id, freq, first_seen and rank from 0. memberships: class_seq, structure_id, atom_idx. Ranks come from counts
+    of ranges, no task sorts all structures."""
     seen = memberships.groupBy("structure_id").agg(F.count("*").alias("freq"), F.min(F.struct("class_seq", "atom_idx")).alias("first_seen"))
-    return seen.withColumn("rank", F.row_number().over(Window.orderBy(F.col("freq").desc(), "first_seen", "structure_id")) - 1)
+    return lineage.ranked(seen, [-F.col("freq"), F.col("first_seen"), F.col("structure_id")]).withColumn("rank", F.col("rank").cast("int"))
 
 
 def summary(memberships: DataFrame) -> DataFrame:
@@ -77,18 +81,20 @@ def min_cover(memberships: DataFrame, local_pairs: int = LOCAL_PAIRS) -> DataFra
 
 
 def distributed(pairs: DataFrame) -> DataFrame:
-    """The same picks, one aggregation each over the classes that no earlier pick hits. The plan does not grow with the
-    picks: their ranks are a list in it, and the pairs are stored once."""
-    spark, picked = pairs.sparkSession, []
-    pairs = pairs.checkpoint() if spark.sparkContext._jsc.sc().getCheckpointDir().isDefined() else pairs.persist()
-    while True:
-        left = pairs
-        if picked:
-            left = pairs.join(pairs.where(F.col("rank").isin(picked)).select("class_seq").distinct(), "class_seq", "left_anti")
-        top = left.groupBy("rank").count().orderBy(F.col("count").desc(), "rank").first()
-        if top is None:
-            return spark.createDataFrame([(r,) for r in picked], "rank int")
-        picked.append(int(top["rank"]))
+    """The same picks in rounds. Counts of open classes only fall, so a structure that leads in each of its open classes (by
+    count, then rank) keeps its count until the greedy order comes to it: all such structures of a round are picked at
+    once, which closes every class of theirs. Nothing is collected; a round's pairs and picks are stored tables."""
+    left, picked = stored(pairs.select("class_seq", F.col("rank").cast("int").alias("rank")).distinct()), None
+    while left.head(1):
+        counts = left.groupBy("rank").agg(F.count("*").alias("n"))
+        keyed = left.join(counts, "rank").withColumn("key", F.struct((-F.col("n")).alias("n"), "rank"))
+        led = keyed.groupBy("class_seq").agg(F.min("key").alias("best"))
+        won = led.groupBy(F.col("best.rank").alias("rank"), (-F.col("best.n")).alias("n")).agg(F.count("*").alias("wins"))
+        now = stored(won.where("wins = n").select("rank"))
+        picked = now if picked is None else stored(picked.union(now))
+        closed = left.join(now, "rank", "left_semi").select("class_seq").distinct()
+        left = stored(left.join(closed, "class_seq", "left_anti"))
+    return pairs.sparkSession.createDataFrame([], "rank int") if picked is None else picked
 
 
 def uncovered_classes(memberships: DataFrame, picked: DataFrame) -> DataFrame:

@@ -11,11 +11,21 @@ from pyspark.sql import functions as F
 
 
 def locate(v: Column, starts: Column, ends: Column) -> Column:
-    """Index of the half-open interval that holds v, the last one closed; -1 for none, and for NaN and null."""
-    k = F.size(F.filter(starts, lambda s: s <= v)) - 1
+    """Index of the half-open interval that holds v, the last one closed; -1 for none, and for NaN and null. The last start
+    not above v is found by halving, so that the work for a row is the logarithm of the number of intervals."""
     n = F.size(starts)
-    inside = (k >= 0) & ((v < F.get(ends, k)) | ((k == n - 1) & (v == F.get(ends, k))))
-    return F.when(v.isNotNull() & ~F.isnan(v) & inside, k).otherwise(F.lit(-1))
+    steps = F.sequence(F.lit(1), F.greatest(F.lit(1), F.ceil(F.log2(F.greatest(n, F.lit(1)) + 1)).cast("int")))
+
+    def halve(at: Column, _: Column) -> Column:
+        middle = ((at["lo"] + at["hi"]) / 2).cast("int")
+        left = (at["lo"] < at["hi"]) & ~(F.get(starts, middle) <= v)
+        right = (at["lo"] < at["hi"]) & (F.get(starts, middle) <= v)
+        return F.struct(F.when(right, middle + 1).otherwise(at["lo"]).alias("lo"), F.when(left, middle).otherwise(at["hi"]).alias("hi"))
+
+    found = F.aggregate(steps, F.struct(F.lit(0).alias("lo"), n.alias("hi")), halve, lambda at: at["lo"] - 1)
+    inside = lambda k: (k >= 0) & ((v < F.get(ends, k)) | ((k == n - 1) & (v == F.get(ends, k))))
+    hit = F.transform(F.array(found), lambda k: F.when(inside(k), k).otherwise(F.lit(-1)))[0]
+    return F.when(v.isNotNull() & ~F.isnan(v) & (n > 0), hit).otherwise(F.lit(-1))
 
 
 def packed(intervals: DataFrame, keys: list[str]) -> DataFrame:

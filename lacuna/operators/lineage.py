@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lacuna.functions.text import loop_label
+from lacuna.operators.stats import stored
 
 
 def chunk_of(df: DataFrame, k: int, order: str) -> DataFrame:
@@ -35,6 +36,20 @@ def _placed(df: DataFrame, order: str, parts: int = 200) -> DataFrame:
     return ranged.withColumn("_within", within).join(F.broadcast(sizes), "_range").withColumn("_at", F.col("_within") + F.col("_before")).drop("_range", "_within", "_before")
 
 
+def ranked(df: DataFrame, order: list[Column]) -> DataFrame:
+    """df with rank, its place from 0 by `order`: Spark's own range partitions are sorted, numbered within, and moved by the
+    counts of the partitions before. Stored between, as the ranges come from a sample; one row a partition is gathered."""
+    if "rank" in df.columns:
+        raise ValueError("a column is named rank already")
+    sort = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
+    ranged = stored(df.withColumn("_k", sort).repartitionByRange(F.col("_k")).withColumn("_part", F.spark_partition_id()))
+    sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    within = F.row_number().over(Window.partitionBy("_part").orderBy("_k")) - 1
+    placed = ranged.withColumn("_within", within).join(F.broadcast(sizes.select("_part", before.alias("_before"))), "_part")
+    return placed.select(*df.columns, (F.col("_within") + F.col("_before")).alias("rank"))
+
+
 def reduce_chunks(df: DataFrame, n: int, chunk_size: int, order: str) -> DataFrame:
     """max(1, n // chunk_size) chunks: a chunk may have nearly twice chunk_size rows."""
     return chunk_of(df, max(1, n // chunk_size), order)
@@ -121,12 +136,24 @@ def configurations_with(spans: DataFrame, selected: DataFrame, by_span: bool = F
     return ids.join(selected.select("structure_id"), "structure_id", "left_semi").select("config").distinct()
 
 
-def multiset_subtract(full: DataFrame, initial: DataFrame, key: list[str], order: str) -> DataFrame:
-    """full without, for each fingerprint, as many rows as initial has: the earliest go. Exact equality, null equals null."""
+def multiset_subtract(full: DataFrame, initial: DataFrame, key: list[str], order: str, hot: int = 1_000_000) -> DataFrame:
+    """full without, for each fingerprint, as many rows as initial has: the earliest go. Exact equality, null equals null. A
+    fingerprint of more than `hot` rows is ranked over many ranges, others by a window each; both ways are exact."""
     counts = initial.groupBy(*key).agg(F.count("*").alias("_n")).select(F.struct(*key).alias("_key"), "_n")
-    placed = full.withColumn("_r", F.row_number().over(Window.partitionBy(*key).orderBy(order)))
-    joined = placed.withColumn("_own", F.struct(*key)).join(counts, F.col("_own").eqNullSafe(F.col("_key")), "left")
-    return joined.where(F.col("_r") > F.coalesce("_n", F.lit(0))).drop("_r", "_own", "_key", "_n")
+    rows = full.withColumn("_own", F.struct(*key))
+    same = F.col("_own").eqNullSafe(F.col("_key"))
+    large = rows.groupBy("_own").agg(F.count("*").alias("_m")).where(F.col("_m") > hot).select(F.col("_own").alias("_key"))
+    some = bool(large.head(1))
+    small = rows.join(large, same, "left_anti") if some else rows
+    placed = small.withColumn("_r", F.row_number().over(Window.partitionBy("_own").orderBy(order)))
+    out = placed.join(counts, same, "left").where(F.col("_r") > F.coalesce("_n", F.lit(0))).select(*full.columns)
+    if not some:
+        return out
+    spread = ranked(rows.join(large, same, "left_semi"), [F.col("_own"), F.col(order)])
+    first = spread.groupBy("_own").agg(F.min("rank").alias("_first")).withColumnRenamed("_own", "_of")
+    cut = first.join(counts, F.col("_of").eqNullSafe(F.col("_key"))).select("_key", (F.col("_first") + F.col("_n")).alias("_cut"))
+    kept = spread.join(cut, same, "left").where(F.col("_cut").isNull() | (F.col("rank") >= F.col("_cut")))
+    return out.union(kept.select(*full.columns))
 
 
 def relabel(df: DataFrame, main: int = -1) -> DataFrame:

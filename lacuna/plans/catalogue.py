@@ -194,11 +194,32 @@ def class_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cover.summary(_numbered(spark, sf_dir))
 
 
-@query()
+def greedy_sql(members: str) -> str:
+    """CTEs after `members`(class_seq, structure_id, atom_idx): rk (structure_id, freq, rank) and g, one row a greedy pick. Each
+    step counts a structure's classes that no earlier pick has closed."""
+    return f"""fr AS (SELECT structure_id, count(*) AS freq, min(struct_pack(c := class_seq, a := atom_idx)) AS seen FROM {members} GROUP BY structure_id),
+rk AS MATERIALIZED (SELECT structure_id, freq, (row_number() OVER (ORDER BY freq DESC, seen, structure_id) - 1)::INTEGER AS rank FROM fr),
+pr AS MATERIALIZED (SELECT DISTINCT class_seq, rank FROM {members} JOIN rk USING (structure_id)),
+g(rank, closed) AS (SELECT -1, []::BIGINT[] UNION ALL
+  SELECT b.rank, list_concat(closed, (SELECT list(class_seq) FROM pr WHERE pr.rank = b.rank)) FROM
+  (SELECT g.closed, (SELECT arg_min(rank, (-n, rank)) FROM (SELECT p.rank, count(*) AS n FROM pr p WHERE NOT list_contains(g.closed, p.class_seq) GROUP BY p.rank)) AS rank FROM g) b WHERE b.rank IS NOT NULL)"""
+
+
+RECURSIVE = NOVEL.replace("WITH", "WITH RECURSIVE", 1)
+NUMBERED = "num AS MATERIALIZED (SELECT dense_rank() OVER (ORDER BY elem, interval_id) - 1 AS class_seq, structure_id, atom_idx FROM mem)"
+
+
+@query(f"{RECURSIVE}, {NUMBERED}, {greedy_sql('num')} SELECT structure_id, freq, rank FROM g JOIN rk USING (rank)")
 def greedy_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cover.min_cover(_numbered(spark, sf_dir))
 
 
+@query(f"{RECURSIVE}, {NUMBERED}, {greedy_sql('num')} SELECT structure_id, freq, rank FROM g JOIN rk USING (rank)")
+def greedy_cover_in_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The way of very large tables, here for all sizes."""
+    return cover.min_cover(_numbered(spark, sf_dir), local_pairs=0)
+
+
 @query("SELECT 0::BIGINT AS uncovered_classes")
 def greedy_cover_certificate(spark: SparkSession, sf_dir: str) -> DataFrame:
     members = _numbered(spark, sf_dir)
@@ -216,7 +237,9 @@ def _event_descriptors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_values(spark, sf_dir).select("structure_id", "atom_idx", "elem", F.array("value").alias("features"), "is_ref", "ts")
 
 
-@query()
+@query(f"""WITH RECURSIVE {EV}, {stats_sql('e')}, {hist_sql('e')}, o AS (SELECT *, row_number() OVER (PARTITION BY elem ORDER BY lo, hi) - 1 AS i, count(*) OVER (PARTITION BY elem) AS ni FROM h WHERE freq > 0),
+mem AS (SELECT e.elem, o.i AS interval_id, structure_id, atom_idx FROM e JOIN o ON e.elem = o.elem AND o.lo <= value AND (value < o.hi OR (o.i = o.ni - 1 AND value = o.hi))), {NUMBERED}, {greedy_sql('num')}
+SELECT DISTINCT e.structure_id, e.structure_id IN (SELECT structure_id FROM g JOIN rk USING (rank)) AS selected FROM e""")
 def reduce_candidate_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce.candidate_only(_event_descriptors(spark, sf_dir))
 
@@ -358,15 +381,16 @@ def topk_in_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select.topk_in_cluster(x, "label", "v", "vec_id", k).withColumn("v", r("v"))
 
 
-@query("""WITH n AS (SELECT event_type AS elem, count(DISTINCT user_id) AS n FROM events GROUP BY elem)
-SELECT elem, k::INTEGER AS label_pos, n, round_even((k + 1) / 5.0::DOUBLE * n, 0)::BIGINT AS n_shown FROM n, range(4) t(k)""")
+@query("""WITH b AS (SELECT event_type AS elem, user_id AS idx, round(sum(value), 6) AS score FROM events GROUP BY ALL),
+p AS (SELECT *, row_number() OVER (PARTITION BY elem ORDER BY score DESC, idx) AS place, count(*) OVER (PARTITION BY elem) AS n FROM b)
+SELECT elem, k::INTEGER AS label_pos, idx, place <= round_even((k + 1) / 5.0::DOUBLE * n, 0) AS shown FROM p, range(4) t(k)""")
 def monotonic_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = event_values(spark, sf_dir)
     week = F.floor(F.date_diff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date")) / 7).cast("int")
     base = e.groupBy("elem", "structure_id").agg(F.round(F.sum("value"), 6).alias("score"), F.min(week).alias("first"))
     labels = spark.createDataFrame([(i,) for i in range(4)], "label_pos int")
     points = base.crossJoin(F.broadcast(labels)).select("elem", "label_pos", F.col("structure_id").alias("idx"), "score", ((F.col("label_pos") + 1) / F.lit(5.0)).alias("coverage"))
-    return coverage.monotonic_topk(points).groupBy("elem", "label_pos").agg(F.count("*").alias("n"), F.count_if("shown").alias("n_shown"))
+    return coverage.monotonic_topk(points).select("elem", "label_pos", "idx", "shown")
 
 
 # ---- ensemble disagreement, metrics

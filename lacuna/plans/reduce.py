@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lacuna.operators import cover, histogram, intervals, lineage, stats
+from lacuna.operators.stats import stored
 
 KEYS = ["body", "elem", "dim"]
 
@@ -104,12 +105,3 @@ def reference_guided(candidate: DataFrame, chunk_size: int, binning: Binning = B
         reference = reference if has_base or chosen.head(1) else chunk
         chosen = stored(chosen.union(select_guided(reference, chunk, binning, widths)))  # state of the fold: selected ids
     return flagged(values, chosen)
-
-
-def stored(df: DataFrame) -> DataFrame:
-    """df without its lineage, in the shared checkpoint folder where one is set."""
-    context = df.sparkSession.sparkContext
-    folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-    if not context._jsc.sc().getCheckpointDir().isDefined() and folder:
-        context.setCheckpointDir(folder)
-    return df.checkpoint() if context._jsc.sc().getCheckpointDir().isDefined() else df.persist()

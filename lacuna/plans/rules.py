@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lacuna.functions import tensors, text
+from lacuna.functions import logs, tensors, text
 from lacuna.operators import coverage, histogram, intervals, lineage, metrics, select, stats, structures
 from lacuna.plans.adapters import event_values, line_forces, table
 from lacuna.plans.catalogue import AMB, ED, EV, query, r
@@ -321,3 +321,64 @@ def mean_by_element(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = event_values(spark, sf_dir)
     out = stats.mean_descriptor(e.select("elem", F.array("value").alias("features")), ["elem"])
     return out.join(e.groupBy(*ED[:1]).agg(F.count("value").alias("n")), "elem").select("elem", "n", r(F.get("features", F.lit(0))).alias("mean"))
+
+
+# ---- logs of simulation programs
+
+
+@query("""SELECT event_id, round(-(event_id % 97) * 0.5 * 27.211386245988, 6)::DOUBLE AS energy, 2::BIGINT AS n_forces, round((user_id % 13) * 0.25 * 51.422067476326, 6)::DOUBLE AS fz, round((event_id % 7) * 3 * 0.006241509073, 9)::DOUBLE AS szz FROM events""")
+def single_point_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A later energy and a later stress do not count, nor do lines of the force table without a number."""
+    e, u = F.col("event_id"), F.col("user_id")
+    log = F.concat(
+        F.lit(" ENERGY| Total FORCE_EVAL ( QS ) energy [a.u.]:   "), F.format_string("%.4f\n", -(e % 97) * 0.5), F.lit(" ENERGY| Total FORCE_EVAL ( QS ) energy [a.u.]: 1.0\n ATOMIC FORCES in [a.u.]\n\n # Atom Kind Element X Y Z\n 1 1 Si 0.1 0.2 "),
+        F.format_string("%.4f\n", (u % 13) * 0.25), F.lit(" 2 1 Si 0.0 0.0 0.5\n\n SUM OF ATOMIC FORCES 0 0 0\n STRESS| Analytical stress tensor [GPa]\n STRESS| x y z\n STRESS| x 1 0 0\n STRESS| y 0 2 0\n STRESS| z 0 0 "),
+        F.format_string("%d\n STRESS| Analytical stress tensor [GPa]\n\n a b 9 9 9\n", (e % 7) * 3),
+    )
+    x = F.col("x")
+    at = table(spark, sf_dir, "events").select("event_id", logs.quickstep(log).alias("x"))
+    return at.select("event_id", r(x["energy"]).alias("energy"), F.size(x["forces"]).cast("long").alias("n_forces"), r(F.get(F.get(x["forces"], F.lit(0)), F.lit(2))).alias("fz"), r(F.get(x["stress"], F.lit(8)), 9).alias("szz"))
+
+
+@query("""WITH f AS (SELECT *, unnest(range(1 + event_id % 2)) AS frame FROM events)
+SELECT event_id, frame::INTEGER AS frame, event_id % 3 = 0 AS converged, round(-100.5 - (event_id % 89) - frame, 6)::DOUBLE AS energy, round(0.5 * (4 + user_id % 5), 6)::DOUBLE AS x, round(0.125 * (event_id % 11) + frame, 6)::DOUBLE AS fy,
+  round((1 + frame) * (4 + user_id % 5) * 20 * 0.0006241509073, 9)::DOUBLE AS vxx, 'SiO' AS symbols FROM f""")
+def relaxation_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One or two frames a log: direct coordinates in an orthogonal cell, a force table, stress and energy."""
+    e, edge = F.col("event_id"), (4 + F.col("user_id") % 5).cast("string")
+
+    def frame(k: int):
+        return F.concat(
+            F.lit(" Lattice vectors: (Cartesian coordinate: in unit of a_0)\n +"), edge, F.lit(" 0 0\n 0 5 0\n 0 0 4\nDIRECT COORDINATES\n atom x y z\n tau_1 0.5 0.25 0.5 1 0\n tau_2 0 0 0 1 0\n"),
+            F.lit(" TOTAL-FORCE (eV/Angstrom)\n ----\n Si1 0 "), F.format_string("%.3f", 0.125 * (e % 11) + k), F.lit(f" 0\n O12 0 0 1\n TOTAL-STRESS (KBAR)\n ----\n {k + 1} 0 0\n 0 1 0\n 0 0 1\n !FINAL x\n final etot is "), F.format_string("%.2f eV\n", -100.5 - e % 89 - k),
+        )
+
+    log = F.concat(F.lit(" TOTAL ATOM NUMBER = 2\n"), frame(0), F.when(e % 2 == 1, frame(1)).otherwise(F.lit("")), F.when(e % 3 == 0, F.lit(" Relaxation is converged!\n")).otherwise(F.lit("")))
+    x, f = F.col("x"), F.col("f")
+    every = table(spark, sf_dir, "events").select("event_id", logs.relaxation(log).alias("x")).select("event_id", x["converged"].alias("converged"), F.posexplode(x["frames"]).alias("frame", "f"))
+    number = lambda c, *at: r(F.get(F.get(c, F.lit(at[0])), F.lit(at[1])))
+    return every.select("event_id", "frame", "converged", r(f["energy"]).alias("energy"), number(f["positions"], 0, 0).alias("x"), number(f["forces"], 0, 1).alias("fy"), r(F.get(f["virial"], F.lit(0)), 9).alias("vxx"), F.array_join(f["symbols"], "").alias("symbols"))
+
+
+LOOPS = "l AS (SELECT DISTINCT year(o_orderdate)::INTEGER - 1993 AS main FROM orders), g AS (SELECT main, row_number() OVER (ORDER BY main) - 1 AS p, count(*) OVER () AS n FROM l WHERE main >= 0)"
+
+
+def _loops(spark: SparkSession, sf_dir: str, how: str) -> DataFrame:
+    labels = lineage.discover_labels(table(spark, sf_dir, "orders").select((F.year("o_orderdate") - 1993).alias("main")))
+    wanted = lineage.select_loops([x.main for x in labels.select("main").collect()], how)  # one row a version
+    return labels.where(F.col("main").isin(wanted)).select(F.col("main").cast("int").alias("main"))
+
+
+@query(f"WITH {LOOPS}, k AS (SELECT ceil(max(n) / 2.0) AS keep FROM g) SELECT main FROM l WHERE main = -1 UNION SELECT main FROM g, k, range(100) t(i) WHERE n <= 3 OR p = n - 1 OR (i < keep AND p = round_even(i * (n - 1) / greatest(1, keep - 1)::DOUBLE, 0))")
+def loop_select_uniform_half(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _loops(spark, sf_dir, "uniform-half")
+
+
+@query(f"WITH {LOOPS} SELECT main FROM l")
+def loop_select_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _loops(spark, sf_dir, "all")
+
+
+@query(f"WITH {LOOPS} SELECT main FROM l WHERE main IN (4, 6, 8)")
+def loop_select_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _loops(spark, sf_dir, "[4, loop-7, 8]")

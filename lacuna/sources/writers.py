@@ -58,12 +58,30 @@ def write_text(texts: DataFrame, path: str, mode: str = "errorifexists", files:
     ordered.sortWithinPartitions("structure_id").select("value").write.mode(mode).text(path)
 
 
-def write_selected(flagged: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Two outputs of one flagged table: selected and remaining structures."""
-    for name, part in (("selected", flagged.where("selected")), ("remain", flagged.where("not selected"))):
+def write_selected(flagged: DataFrame, path: str, mode: str = "errorifexists", current: DataFrame | None = None) -> None:
+    """Two outputs of one flagged table: selected structures, after those of `current` where it is given, and the rest."""
+    chosen = flagged.where("selected").drop("selected")
+    if current is not None:
+        before = current.select(*[F.col(c) if c in current.columns else F.lit(None).cast(chosen.schema[c].dataType).alias(c) for c in chosen.columns])
+        ends = before.agg(F.coalesce(F.max("structure_id") + 1, F.lit(0)).alias("_end"))
+        first = chosen.agg(F.coalesce(F.min("structure_id"), F.lit(0)).alias("_start"))
+        moved = chosen.crossJoin(F.broadcast(ends)).crossJoin(F.broadcast(first))  # one row each
+        chosen = before.unionByName(moved.withColumn("structure_id", F.col("structure_id") - F.col("_start") + F.col("_end")).drop("_start", "_end"))
+    for name, part in (("selected", chosen), ("remain", flagged.where("not selected").drop("selected"))):
         write_text(extxyz_text(part), f"{path}/{name}", mode)
 
 
+def hours_text(hours: DataFrame) -> str:
+    """Text of a core hour report: a block for each category of metrics.core_hours, their sum, and the logs left out."""
+    rows = sorted((r for r in hours.collect() if r.category is not None), key=lambda r: r.category)  # one row a category
+    lines = []
+    for r in rows:
+        lines += [f"{r.category}: {r.core_hours:.6f}", f"  task_count: {r.n_files}", f"  counted_count: {r.n_files - len(r.missing)}"]
+    lines += [f"total_core_hours: {sum(r.core_hours for r in rows):.6f}", "missing_runtime_records:"]
+    lines += [f"  - {r.category}: {path}" for r in rows for path in r.missing] or ["  - none"]
+    return "\n".join(lines) + "\n"
+
+
 def summary_csv(results: DataFrame, body: str = "body", value: str = "coverage") -> DataFrame:
     """One row a dataset and element with a column for each body, fixed decimals."""
     wide = results.groupBy("dataset", "elem").pivot(body).agg(F.first(value))
