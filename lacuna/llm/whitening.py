@@ -12,8 +12,8 @@ Defined results: rows whose vector is null or holds null or non-finite entries a
 have no components. Vectors of each length are a fit of their own. Components whose singular value is zero to double
 precision have no whitened values and are left out (all of them, where all rows are equal or there is one row); equal
 eigenvalues have any basis of their space. Each component's largest entry is positive. Entries beyond a long's range count
-as the nearest long. Repeated rows and null ids count and are returned as often as they occur; an empty table gives no
-rows; other columns are ignored.
+as the nearest long; a deviation of more than 38 digits is null, and the query's is null beyond a long. Repeated rows and
+null ids count and are returned as often as they occur; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -191,5 +191,5 @@ def whiten(table: DataFrame, components: int = COMPONENTS, scale: int = SCALE, s
     joined = rows.join(small_side(found), "dim").select("vec_id", "dim", "x", "n", "sums", "values", "vectors")
     white = cut(joined.mapInArrow(projector, PROJECTED))
     error = identity_error(white, components)
-    each = white.select("vec_id", "n", F.col("deviation").cast("decimal(38,0)").alias("deviation"), "values", F.posexplode("whitened").alias("place", "whitened"))
+    each = white.select("vec_id", "n", F.expr("try_cast(deviation AS decimal(38,0))").alias("deviation"), "values", F.posexplode("whitened").alias("place", "whitened"))
     return each.select("vec_id", (F.col("place") + 1).alias("component"), "n", "deviation", "whitened", F.get("values", 2 * F.col("place") + 1).alias("explained"), F.lit(error).alias("identity_error"))
