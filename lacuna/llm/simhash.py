@@ -17,9 +17,9 @@ that shares most bands; texts that are connected by then need no more comparing.
 in different components: of bands of up to SMALL texts each such pair is compared; larger ones go in blocks of CHUNK texts,
 those outside the band's largest component meeting all others, within a task and without a row for a pair.
 
-Defined results: null and empty texts have fingerprint zero, which links like any other; rows of a null id get a null
-component unless a row with an id has or reaches their fingerprint; repeated rows get equal rows; an empty table gives no
-rows; other columns of the input are ignored.
+Defined results: null and empty texts have fingerprint zero, which links like any other; rows of a null id link like any
+other, and a component without any id is null; repeated rows get equal rows; an empty table gives no rows; other columns of
+the input are ignored. The near-duplicate stage takes all texts without words as one group, of which one row stays.
 """
 
 from __future__ import annotations
@@ -99,8 +99,8 @@ def near_words(fp: Column) -> Column:
 
 
 def link_fingerprints(prints: DataFrame) -> DataFrame:
-    """Edges (a, b) between the first documents of fingerprints that differ in 1 or 2 bits, enough of them to connect all
-    that such differences connect. prints: rep (long), fp (long), one row for each fingerprint."""
+    """Edges (a, b) between the reps of fingerprints that differ in 1 or 2 bits, enough of them to connect all that such
+    differences connect. prints: rep (long) and fp (long), both different in every row."""
     in_cells = prints.select("rep", "fp", own_cell(F.col("fp")).alias("own")).select("rep", "fp", F.explode(cells(F.col("own"))).alias("cell"))
     shared = in_cells.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
     there = cut(in_cells.join(shared, "cell"))
@@ -114,11 +114,14 @@ def link_fingerprints(prints: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """doc_id, fp and component_id, the smallest doc_id reachable by links, of docs(doc_id, text)."""
+    """doc_id, fp and component_id, the smallest doc_id reachable by links, of docs(doc_id, text). Fingerprints link, ids only
+    name what is reached."""
     prints = cut(fingerprints(docs, words, seed))
-    reps = prints.groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    roots = components(link_fingerprints(reps.where("rep is not null"))).select(F.col("node").alias("rep"), "root")
-    of = reps.join(roots, "rep", "left").select("fp", F.coalesce("root", "rep").alias("component_id"))
+    reps = prints.groupBy("fp").agg(F.min("doc_id").alias("least")).withColumn("rep", F.col("fp"))
+    roots = components(link_fingerprints(reps.select("rep", "fp"))).select(F.col("node").alias("rep"), "root")
+    rooted = reps.join(roots, "rep", "left").select("fp", "least", F.coalesce("root", "rep").alias("root"))
+    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    of = rooted.join(named, "root").select("fp", "component_id")
     return prints.join(of, "fp").select("doc_id", "fp", "component_id")
 
 
@@ -264,7 +267,7 @@ def link_crowds(members: DataFrame, sets: DataFrame, similar: float) -> DataFram
 
 def keep_first(docs: DataFrame, words: int = WORDS, similar: float = SIMILAR, seed: int = SEED) -> DataFrame:
     """docs with one row of each component of similar texts: that of the smallest doc_id, null ids last, then of the smallest
-    hash of the row. Ids only order rows: rows of a null or repeated id go only if they are near-duplicates of a kept one."""
+    hash of the row. Texts without words, null ones among them, are one component. Ids only order rows: rows of a null or repeated id go only if they are near-duplicates of a kept one."""
     row = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
     rows = docs.select(row.alias("row"), F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string"))
     prints = cut(rows.mapInArrow(setter(words, seed), "row long, id long, node long, bands array<long>, shingles array<int>"))
