@@ -15,7 +15,8 @@ products of STRIP rows at a time; a pair of vectors counts only at the first dir
 links enough to connect what the meeting's links connect, so that their rows grow with the vectors in them.
 
 Defined results: null labels, and vectors that are null, empty, zero or hold null or non-finite components, link with
-nothing; repeated rows of one id count as different vectors; vectors of different lengths do not link; an empty table
+nothing; rows of a null id link like any other and their component is null where no row of it has an id; repeated rows of one
+id count as different vectors; vectors of different lengths do not link; an empty table
 gives no rows; other columns are ignored.
 """
 
@@ -241,15 +242,17 @@ def near_duplicates(table: DataFrame, cosine: float = COSINE, expected: float =
     """vec_id, n_links, component_id and kept of table(vec_id, embedding, label)."""
     kind = "array<float>" if table.schema["embedding"].dataType == T.ArrayType(T.FloatType()) else "array<double>"
     rows = table.select(F.col("vec_id").cast("long"), F.col("label").cast("long"), F.col("embedding").cast(kind))
-    good = rows.where(usable() & F.col("label").isNotNull() & F.col("vec_id").isNotNull())
-    good = good.withColumn("key", F.xxhash64("embedding"))
-    classes = cut(good.groupBy("label", "key", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")))
+    fit = F.coalesce(usable() & F.col("label").isNotNull(), F.lit(False))
+    good = rows.where(fit).withColumn("key", F.xxhash64("embedding"))
+    classes = good.groupBy("label", "key", "embedding").agg(F.min("vec_id").alias("least"), F.count("*").alias("n"))
+    classes = cut(classes.withColumn("rep", F.monotonically_increasing_id()))  # ids only name rows: they may be null or repeat
     found = cut(links(classes, cosine, expected))
-    roots = components(found.where("b is not null").select("a", "b"))
+    roots = components(found.where("b is not null").select("a", "b")).withColumnRenamed("node", "rep")
     others = found.where("n is not null").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("others"))
-    known = classes.join(others, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-    known = known.select("label", "key", "embedding", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("root", "rep").alias("component_id"))
-    ids = good.join(known, ["label", "key", "embedding"]).select("vec_id", "n_links", "component_id")
-    rest = rows.where(~F.coalesce(usable() & F.col("label").isNotNull() & F.col("vec_id").isNotNull(), F.lit(False)))
-    out = ids.union(rest.select("vec_id", F.lit(0).cast("long"), "vec_id"))
+    known = classes.join(others, "rep", "left").join(roots, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    known = cut(known.select("rep", "root", "least", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")))
+    named = known.join(known.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("rep", "n_links", "component_id")
+    of = classes.select("label", "key", "embedding", "rep").join(named, "rep").drop("rep")
+    ids = good.join(of, ["label", "key", "embedding"]).select("vec_id", "n_links", "component_id")
+    out = ids.union(rows.where(~fit).select("vec_id", F.lit(0).cast("long"), "vec_id"))
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

@@ -88,6 +88,22 @@ def test_simhash(docs, empty):
     assert not {2, 4} & {r.doc_id for r in kept.collect()}
 
 
+def test_null_ids_link_like_others(spark, monkeypatch):
+    """A row without an id between two others joins them; a component without ids is null."""
+    far = 0x0F0F << 20
+    rows = [(1, "0"), (None, "3"), (2, "15"), (None, str(far)), (None, str(far + 1)), (7, str(far << 8))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    prints = docs.select("doc_id", F.col("text").cast("long").alias("fp"))
+    monkeypatch.setattr(simhash, "fingerprints", lambda d, words, seed: prints)
+    got = sorted(((r.doc_id, r.fp, r.component_id) for r in simhash.near_duplicates(docs).collect()), key=str)
+    assert got == sorted([(1, 0, 1), (None, 3, 1), (2, 15, 1), (None, far, None), (None, far + 1, None), (7, far << 8, 7)], key=str)
+    v = [[1.0, 0.0, 0.0], [1.0, 0.3, 0.0], [1.0, 0.66, 0.0]]
+    rows = [(1, v[0], 5), (None, v[1], 5), (2, v[2], 5), (2, [0.0, 0.0, 1.0], 5), (2, [0.0, 0.1, 1.0], 5), (None, [0.0, -1.0, 0.0], 5)]
+    got = [tuple(r) for r in vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()]
+    want = [(1, 1, 1, True), (None, 2, 1, False), (2, 1, 1, False), (2, 1, 2, True), (2, 1, 2, True), (None, 0, None, True)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_near_duplicates_keep_rows_without_own_id(spark):
     texts = ["one two three four five", "six seven eight nine ten", "red green blue white black", "up down left right middle"]
     rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (5, texts[2]), (5, texts[3]), (6, texts[3]), (None, texts[3])]
