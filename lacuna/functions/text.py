@@ -94,6 +94,25 @@ def repeats(value: str) -> tuple[int, int, int]:
     return parts[0], parts[1], parts[2]
 
 
+def label_path(text: Column) -> Column:
+    """`label=path` to both; without a sign of equality the label is the path's last part without its ending. An empty label
+    before the sign is an error."""
+    at = F.instr(text, "=")
+    label, path = F.trim(F.substring(text, F.lit(1), at - 1)), F.trim(F.substring(text, at + 1, F.length(text)))
+    named = F.when(label == "", F.raise_error(F.concat(F.lit("empty label: "), text)).cast("string")).otherwise(label)
+    last = F.regexp_replace(F.regexp_replace(text, r"/+$", ""), r"^.*/", "")
+    return F.struct(F.when(at > 0, named).otherwise(F.regexp_replace(last, r"(?<=.)\.[^.]*$", "")).alias("label"), F.when(at > 0, path).otherwise(text).alias("path"))
+
+
+def label_values(items: list[str]) -> list[tuple[str, str]]:
+    """Texts of `label=value`, several with commas between; a part without a label, a value or any is an error."""
+    parts = [p.strip() for x in items for p in x.split(",") if p.strip()]
+    pairs = [(a.strip(), z.strip()) for a, sign, z in (p.partition("=") for p in parts) if sign]
+    if not parts or len(pairs) < len(parts) or any(not a or not z for a, z in pairs):
+        raise ValueError(f"label=value is needed: {items}")
+    return pairs
+
+
 def safe_name(label: Column) -> Column:
     """Runs outside letters, digits, dot, dash and underscore become one underscore; `dataset` where nothing is left."""
     named = F.regexp_replace(F.regexp_replace(label, r"^\s+|\s+$", ""), r"[^A-Za-z0-9._-]+", "_")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from lacuna.operators import lineage
 from lacuna.operators.stats import stored
 
-LOCAL_PAIRS = 50_000_000
+LOCAL_PAIRS = 2_000_000
 
 
 def frequencies(memberships: DataFrame) -> DataFrame:
@@ -67,34 +67,33 @@ def greedy(class_id: np.ndarray, rank: np.ndarray) -> list[int]:
 
 def min_cover(memberships: DataFrame, local_pairs: int = LOCAL_PAIRS) -> DataFrame:
     """structure_id, freq and rank of the structures picked. memberships: class_seq, structure_id, atom_idx."""
-    memberships = memberships.select("class_seq", "structure_id", "atom_idx").persist()  # read three times below; spills to disk
-    ranked = cover_rank(memberships).select("structure_id", "freq", "rank").persist()
+    memberships = stored(memberships.select("class_seq", "structure_id", "atom_idx"))
+    ranked = cover_rank(memberships).select("structure_id", "freq", "rank")
     pairs = memberships.select("class_seq", "structure_id").distinct().join(ranked, "structure_id").select("class_seq", "rank")
-    if pairs.count() <= local_pairs:
-        def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-            return pd.DataFrame({"rank": greedy(pdf["class_seq"].to_numpy(), pdf["rank"].to_numpy())})
-
-        picked = pairs.groupBy(F.lit(0).alias("all")).applyInPandas(solve, "rank int")
-    else:
-        picked = distributed(pairs)
-    return ranked.join(picked, "rank").select("structure_id", "freq", "rank")
-
-
-def distributed(pairs: DataFrame) -> DataFrame:
-    """The same picks in rounds. Counts of open classes only fall, so a structure that leads in each of its open classes (by
-    count, then rank) keeps its count until the greedy order comes to it: all such structures of a round are picked at
-    once, which closes every class of theirs. Nothing is collected; a round's pairs and picks are stored tables."""
-    left, picked = stored(pairs.select("class_seq", F.col("rank").cast("int").alias("rank")).distinct()), None
-    while left.head(1):
+    return ranked.join(picks(pairs, local_pairs), "rank").select("structure_id", "freq", "rank")
+
+
+def picks(pairs: DataFrame, local_pairs: int) -> DataFrame:
+    """Ranks picked from pairs(class_seq, rank). Counts of open classes only fall, so a structure that leads in each of its open
+    classes (by count, then rank) keeps its count until the greedy order comes to it: all such structures of a round are
+    picked at once, which closes every class of theirs. A round's pairs and picks are stored tables."""
+    left, rounds = stored(pairs.select("class_seq", F.col("rank").cast("int").alias("rank")).distinct()), []
+    while (n := left.count()) > local_pairs:
         counts = left.groupBy("rank").agg(F.count("*").alias("n"))
         keyed = left.join(counts, "rank").withColumn("key", F.struct((-F.col("n")).alias("n"), "rank"))
         led = keyed.groupBy("class_seq").agg(F.min("key").alias("best"))
         won = led.groupBy(F.col("best.rank").alias("rank"), (-F.col("best.n")).alias("n")).agg(F.count("*").alias("wins"))
-        now = stored(won.where("wins = n").select("rank"))
-        picked = now if picked is None else stored(picked.union(now))
-        closed = left.join(now, "rank", "left_semi").select("class_seq").distinct()
+        rounds.append(stored(won.where("wins = n").select("rank")))
+        closed = left.join(rounds[-1], "rank", "left_semi").select("class_seq").distinct()
         left = stored(left.join(closed, "class_seq", "left_anti"))
-    return pairs.sparkSession.createDataFrame([], "rank int") if picked is None else picked
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"rank": greedy(pdf["class_seq"].to_numpy(), pdf["rank"].to_numpy())})
+
+    out = left.groupBy(F.lit(0).alias("all")).applyInPandas(solve, "rank int") if n else left.select("rank").limit(0)  # local_pairs at most
+    for found in rounds:
+        out = out.union(found)
+    return out
 
 
 def uncovered_classes(memberships: DataFrame, picked: DataFrame) -> DataFrame:

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lacuna.functions.numeric import grid_bins, isclose
-from lacuna.operators.stats import order_statistics
+from lacuna.operators import lineage
+from lacuna.operators.stats import order_statistics, stored
 
 
 def coverage_rate(labelled: DataFrame, elem: list[str], dim: str = "dim", how: str = "mean") -> DataFrame:
@@ -90,21 +89,31 @@ def mean_1d_coverage(by_dim: DataFrame, keys: list[str]) -> DataFrame:
 def monotonic_topk(points: DataFrame, group: str = "elem", label_pos: str = "label_pos") -> DataFrame:
     """points(group, label_pos, idx, score, coverage) with `shown`: for each label in order, round-half-even(coverage * n)
     points are shown, never fewer than before, those shown before first, then by score, then by index. A label with
-    another number of points starts anew. A fold over the labels of a group, which is one batch of points."""
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        shown, out = None, []
-        for _, part in pdf.sort_values([label_pos, "idx"]).groupby(label_pos, sort=True):
-            n = len(part)
-            if shown is None or len(shown) != n:
-                shown = pd.Series(False, index=range(n))
-            part = part.reset_index(drop=True)
-            goal = max(int(shown.sum()), min(round(part["coverage"].iloc[0] * n), n))
-            rest = part.loc[~shown.to_numpy()].sort_values(["score", "idx"], ascending=[False, True]).index[: goal - int(shown.sum())]
-            shown = shown.copy()
-            shown.loc[rest] = True
-            out.append(part.assign(shown=shown.to_numpy()))
-        return pd.concat(out)
-
-    schema = T.StructType([*points.schema.fields, T.StructField("shown", T.BooleanType())])
-    return points.groupBy(group).applyInPandas(fold, schema)
+    another number of points starts anew. A round for each label, whose points not yet shown are ranked over ranges; places
+    shown so far are a stored table, so that no task holds a group."""
+    of = [F.col(group), F.col(label_pos)]
+    rows = lineage.ranked(points.drop("rank"), [*of, F.col("idx")])
+    sizes = stored(rows.groupBy(group, label_pos).agg(F.count("*").alias("_n"), F.min("rank").alias("_first"), F.first("coverage").alias("_c")))
+    rows = stored(rows.join(sizes, [group, label_pos]).withColumn("_place", F.col("rank") - F.col("_first")).drop("rank", "_first"))
+    shown, out = None, []
+    for (label,) in sorted(sizes.select(label_pos).distinct().collect()):  # a row a label
+        now = rows.where(F.col(label_pos) == F.lit(label))
+        if shown is None:
+            now = now.withColumn("_before", F.lit(False))
+        else:
+            now = now.join(shown, [group, "_n", "_place"], "left").withColumn("_before", F.col("_shown").isNotNull()).drop("_shown")
+        now = stored(now)
+        had = now.groupBy(group).agg(F.count_if("_before").alias("_had"), F.first("_n").alias("_m"), F.first("_c").alias("_share"))
+        goal = F.greatest(F.col("_had"), F.least(F.bround(F.col("_share") * F.col("_m")), F.col("_m")))
+        rest = lineage.ranked(now.where("not _before").select(group, "score", "_place"), [F.col(group), -F.col("score"), F.col("_place")])
+        first = rest.groupBy(group).agg(F.min("rank").alias("_first"))
+        more = rest.join(first, group).join(had.select(group, (goal - F.col("_had")).alias("_more")), group).where(F.col("rank") - F.col("_first") < F.col("_more"))
+        part = stored(now.join(more.select(group, "_place", F.lit(True).alias("_now")), [group, "_place"], "left").withColumn("shown", F.col("_before") | F.col("_now").isNotNull()))
+        out.append(part.select(*points.columns, "shown"))
+        # groups that this label lacks keep what they had
+        kept = part.where("shown").select(group, "_n", "_place", F.lit(True).alias("_shown"))
+        shown = kept if shown is None else stored(kept.union(shown.join(part.select(group).distinct(), group, "left_anti")))
+    result = points.withColumn("shown", F.lit(False)).limit(0)
+    for part in out:
+        result = result.union(part)
+    return result

@@ -9,10 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lacuna.functions.numeric import bin_index
 
-def locate(v: Column, starts: Column, ends: Column) -> Column:
-    """Index of the half-open interval that holds v, the last one closed; -1 for none, and for NaN and null. The last start
-    not above v is found by halving, so that the work for a row is the logarithm of the number of intervals."""
+
+def last_start(v: Column, starts: Column) -> Column:
+    """Place of the last of the sorted starts that is not above v, -1 for none. Found by halving, so that the work for a row is
+    the logarithm of the number of starts."""
     n = F.size(starts)
     steps = F.sequence(F.lit(1), F.greatest(F.lit(1), F.ceil(F.log2(F.greatest(n, F.lit(1)) + 1)).cast("int")))
 
@@ -22,9 +24,14 @@ def locate(v: Column, starts: Column, ends: Column) -> Column:
         right = (at["lo"] < at["hi"]) & (F.get(starts, middle) <= v)
         return F.struct(F.when(right, middle + 1).otherwise(at["lo"]).alias("lo"), F.when(left, middle).otherwise(at["hi"]).alias("hi"))
 
-    found = F.aggregate(steps, F.struct(F.lit(0).alias("lo"), n.alias("hi")), halve, lambda at: at["lo"] - 1)
+    return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), n.alias("hi")), halve, lambda at: at["lo"] - 1)
+
+
+def locate(v: Column, starts: Column, ends: Column) -> Column:
+    """Index of the half-open interval that holds v, the last one closed; -1 for none, and for NaN and null."""
+    n = F.size(starts)
     inside = lambda k: (k >= 0) & ((v < F.get(ends, k)) | ((k == n - 1) & (v == F.get(ends, k))))
-    hit = F.transform(F.array(found), lambda k: F.when(inside(k), k).otherwise(F.lit(-1)))[0]
+    hit = F.transform(F.array(last_start(v, starts)), lambda k: F.when(inside(k), k).otherwise(F.lit(-1)))[0]
     return F.when(v.isNotNull() & ~F.isnan(v) & (n > 0), hit).otherwise(F.lit(-1))
 
 
@@ -87,20 +94,34 @@ def with_class_id(memberships: DataFrame, order: list[str]) -> DataFrame:
     return memberships.join(distinct, order)
 
 
-def uncovered(v: Column, vmin: Column, vmax: Column, starts: Column, ends: Column) -> Column:
+def uncovered(v: Column, vmin: Column, vmax: Column, in_zero: Column) -> Column:
     """In (-inf, min), a zero interval or [max, inf); the minimum and the maximum themselves are covered, and so is NaN."""
-    outside = (v < vmin) | (v >= vmax) | (locate(v, starts, ends) >= 0)
+    outside = (v < vmin) | (v >= vmax) | in_zero
     return F.when(v.isNull() | F.isnan(v) | (v == vmin) | (v == vmax), F.lit(False)).otherwise(outside)
 
 
+def flags(stats: DataFrame, zero: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, vmin, vmax, nbins and low, whether each bin is a zero interval."""
+    bins = zero.groupBy(*keys).agg(F.collect_list("bin").alias("_bins"))  # a dimension's bins
+    low = F.transform(F.sequence(F.lit(0).cast("long"), F.col("nbins") - 1), lambda b: F.coalesce(F.array_contains("_bins", b), F.lit(False)))
+    return stats.select(*keys, "vmin", "vmax", "nbins").join(bins, keys, "left").select(*keys, "vmin", "vmax", "nbins", low.alias("low"))
+
+
 def label_covered(points: DataFrame, stats: DataFrame, zero: DataFrame, keys: list[str], value: str = "value", on_missing: str = "raise") -> DataFrame:
-    """points with `covered`. A key that the reference lacks is an error, or uncovered if on_missing says so."""
+    """points with `covered`. A key that the reference lacks is an error, or uncovered if on_missing says so. Where the zero
+    intervals are bins of the reference's histogram (a column `bin`), a value's bin is computed and its flag looked up; other
+    intervals are searched."""
     if on_missing not in ("raise", "uncovered"):
         raise ValueError("on_missing is raise or uncovered")
-    nothing = F.array().cast("array<double>")
-    known = stats.select(*keys, "vmin", "vmax").join(packed(zero, keys), keys, "left")
-    joined = points.join(known, keys, "left")
-    args = (F.col("vmin"), F.col("vmax"), F.coalesce("starts", nothing), F.coalesce("ends", nothing))
+    v = F.col(value)
+    if "bin" in zero.columns and "nbins" in stats.columns:
+        joined = points.join(flags(stats, zero, keys), keys, "left")
+        at = F.when(v.between(F.col("vmin"), F.col("vmax")), bin_index(v, F.col("vmin"), F.col("vmax"), F.col("nbins")))
+        in_zero = F.coalesce(F.get("low", at.cast("int")), F.lit(False))
+    else:
+        nothing = F.array().cast("array<double>")
+        joined = points.join(stats.select(*keys, "vmin", "vmax").join(packed(zero, keys), keys, "left"), keys, "left")
+        in_zero = locate(v, F.coalesce("starts", nothing), F.coalesce("ends", nothing)) >= 0
     missing = F.raise_error(F.lit("a key of the query is not in the reference")).cast("boolean") if on_missing == "raise" else F.lit(False)
-    covered = F.when(F.col("vmin").isNull(), missing).otherwise(~uncovered(F.col(value), *args))
-    return joined.withColumn("covered", covered).drop("vmin", "vmax", "starts", "ends")
+    covered = F.when(F.col("vmin").isNull(), missing).otherwise(~uncovered(v, F.col("vmin"), F.col("vmax"), in_zero))
+    return joined.withColumn("covered", covered).select(*points.columns, "covered")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lacuna.functions.text import loop_label
+from lacuna.operators import intervals
 from lacuna.operators.stats import stored
 
 
@@ -23,17 +24,11 @@ def _ntile(at: Column, total: Column, k: int) -> Column:
     return F.when(at < edge, F.floor(at / (small + 1))).otherwise(longer + F.floor(F.try_divide(at - edge, small))).cast("int")
 
 
-def _placed(df: DataFrame, order: str, parts: int = 200) -> DataFrame:
-    """df with _at, its place by `order` from 0, and _total: approximate quantiles cut the order into ranges, rows are
-    numbered within a range and moved by the counts of earlier ranges."""
-    cuts = df.stat.approxQuantile(order, [i / parts for i in range(1, parts)], 0.005) if dict(df.dtypes)[order] in ("bigint", "int", "double") else []
-    bounds = F.array(*[F.lit(float(x)) for x in sorted(set(cuts))]) if cuts else F.array().cast("array<double>")
-    ranged = df.withColumn("_range", F.size(F.filter(bounds, lambda b: b <= F.col(order))))
-    sizes = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
-    before = F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))  # `parts` rows
-    sizes = sizes.select("_range", F.coalesce(before, F.lit(0)).alias("_before"), F.sum("_n").over(Window.partitionBy(F.lit(0))).alias("_total"))
-    within = F.row_number().over(Window.partitionBy("_range").orderBy(order)) - 1
-    return ranged.withColumn("_within", within).join(F.broadcast(sizes), "_range").withColumn("_at", F.col("_within") + F.col("_before")).drop("_range", "_within", "_before")
+def _placed(df: DataFrame, order: str) -> DataFrame:
+    """df with _at, its place by `order` from 0, and _total. Only the order's values are ranked; rows meet them by value."""
+    places = ranked(df.select(F.col(order).alias("_o")), [F.col("_o")]).withColumnRenamed("rank", "_at")
+    total = places.agg(F.count("*").alias("_total"))
+    return df.join(places, F.col(order).eqNullSafe(F.col("_o"))).drop("_o").crossJoin(F.broadcast(total))  # one row
 
 
 def ranked(df: DataFrame, order: list[Column]) -> DataFrame:
@@ -69,12 +64,12 @@ def discover_labels(frames: DataFrame, main: str = "main") -> DataFrame:
 
 
 def cumulative(frames: DataFrame, labels: DataFrame, main: str = "main") -> DataFrame:
-    """frames once for their own label and for every later one. The labels are few and are broadcast when counted so."""
-    at = labels.select(F.col("main").alias("_m"), F.col("label_pos").alias("frame_pos"))
-    last = labels.agg(F.array_sort(F.collect_list(F.struct("label_pos", "label"))).alias("_labels"))  # the selected labels
-    own = frames.join(at, F.col(main) == F.col("_m")).drop("_m")
-    each = own.crossJoin(F.broadcast(last)).withColumn("_x", F.explode(F.filter("_labels", lambda x: x["label_pos"] >= F.col("frame_pos"))))
-    return each.select(*[c for c in own.columns], F.col("_x.label_pos").alias("label_pos"), F.col("_x.label").alias("label"))
+    """frames once for their own label and for every later one; Spark broadcasts the labels if they are few."""
+    places = labels.select(F.col("main").alias("_m"), "label_pos", "label", (F.row_number().over(Window.orderBy("label_pos")) - 1).alias("_k"))  # a row a label
+    last = places.agg(F.max("_k")).first()[0]
+    at = places.select("_m", F.col("label_pos").alias("frame_pos"), F.col("_k").alias("_own"))
+    own = frames.join(at, F.col(main) == F.col("_m")).drop("_m").withColumn("_k", F.explode(F.sequence(F.col("_own"), F.lit(last if last is not None else 0)))).drop("_own")
+    return own.join(places.select("_k", "label_pos", "label"), "_k").drop("_k")
 
 
 def unmatched(frames: DataFrame, labels: DataFrame, main: str = "main") -> int:
@@ -114,26 +109,60 @@ def select_loops(mains: list[int], how: str) -> list[int]:
     return first + [loops[i] for i in dict.fromkeys(places)]
 
 
+#: Marks that are broadcast and searched by halving; more are merged with the rows by ranges.
+FEW = 10_000
+
+
+def located(rows: DataFrame, marks: DataFrame, at: str, few: int = FEW) -> DataFrame:
+    """rows with `mark`, the last of marks(start, mark) whose start is not above the row's `at`; null before the first. Starts
+    are different. A few marks are searched by halving in one array; many are put in order among the rows, in ranges, and
+    each range takes over the last mark of the ranges before it."""
+    if marks.limit(few + 1).count() <= few:
+        array = marks.agg(F.array_sort(F.collect_list(F.struct("start", "mark"))).alias("_marks"))
+        starts = F.transform("_marks", lambda m: m["start"])
+        placed = rows.crossJoin(F.broadcast(array.select("_marks", starts.alias("_starts"))))  # one row
+        k = intervals.last_start(F.col(at), F.col("_starts"))
+        return placed.withColumn("_k", k).withColumn("mark", F.when(F.col("_k") >= 0, F.get("_marks", F.col("_k"))["mark"])).drop("_marks", "_starts", "_k")
+    kind, row = marks.schema["mark"].dataType, rows.schema
+    # a row's columns are one struct; equal places are spread over ranges by a hash
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])
+    left = rows.select(F.col(at).alias("_at"), F.lit(1).alias("_kind"), spread.alias("_h"), F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("_row"), F.lit(None).cast(kind).alias("_mark"))
+    right = marks.select(F.col("start").alias("_at"), F.lit(0).alias("_kind"), F.lit(0).cast("long").alias("_h"), F.lit(None).cast(row).alias("_row"), F.col("mark").alias("_mark"))
+    both = stored(left.union(right).repartitionByRange("_at", "_kind", "_h").withColumn("_part", F.spark_partition_id()))
+    own = F.last("_mark", ignorenulls=True).over(Window.partitionBy("_part").orderBy("_at", "_kind", "_h"))
+    lasts = both.where("_kind = 0").groupBy("_part").agg(F.max_by("_mark", "_at").alias("_last"))
+    parts = both.select("_part").distinct().join(lasts, "_part", "left")
+    before = F.last("_last", ignorenulls=True).over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))  # a row a range
+    carried = parts.select("_part", before.alias("_carried"))
+    out = both.withColumn("_own", own).where("_kind = 1").join(F.broadcast(carried), "_part")
+    return out.select("_row.*", F.coalesce("_own", "_carried").alias("mark"))
+
+
 def segment_labels(frames: DataFrame, counts: DataFrame, index: str = "frame_idx") -> DataFrame:
     """frames with main: -1 for the first segment, then 0, 1, ... by the segments' counts(main, cnt); null beyond them."""
     upto = F.sum("cnt").over(Window.orderBy("main"))  # one row a segment
-    ends = counts.withColumn("hi", upto).agg(F.array_sort(F.collect_list(F.struct("hi", "main"))).alias("_ends"))
-    return frames.crossJoin(F.broadcast(ends)).withColumn("main", F.get(F.filter("_ends", lambda e: e["hi"] > F.col(index)), F.lit(0))["main"]).drop("_ends")
+    segments = counts.where("cnt > 0").select((upto - F.col("cnt")).alias("start"), F.struct("main", upto.alias("stop")).alias("mark"))
+    found = located(frames.drop("main"), segments, index)
+    return found.withColumn("main", F.when(F.col(index) < F.col("mark.stop"), F.col("mark.main"))).drop("mark")
 
 
 def configuration_of(structures: DataFrame, spans: DataFrame, sid: str = "structure_id") -> DataFrame:
-    """structures with config by spans(config, start, stop), half-open; spans of one name are one group."""
-    by = spans.agg(F.array_sort(F.collect_list(F.struct("start", "stop", "config"))).alias("_spans"))
-    hit = F.get(F.filter("_spans", lambda s: (s["start"] <= F.col(sid)) & (s["stop"] > F.col(sid))), F.lit(0))
-    return structures.crossJoin(F.broadcast(by)).withColumn("config", hit["config"]).where("config is not null").drop("_spans")
+    """structures with config by spans(config, start, stop), half-open and disjoint; spans of one name are one group."""
+    found = located(structures, spans.select("start", F.struct("config", "stop").alias("mark")), sid)
+    return found.where(F.col(sid) < F.col("mark.stop")).withColumn("config", F.col("mark.config")).drop("mark")
 
 
 def configurations_with(spans: DataFrame, selected: DataFrame, by_span: bool = False) -> DataFrame:
     """Names of configurations that hold a selected id; by_span: within the first and last id of the name, so that
-    interleaved names match too often, as the reference does."""
-    s = spans.groupBy("config").agg(F.min("start").alias("start"), F.max("stop").alias("stop")) if by_span else spans
-    ids = s.select("config", F.explode(F.sequence("start", F.col("stop") - 1)).alias("structure_id"))
-    return ids.join(selected.select("structure_id"), "structure_id", "left_semi").select("config").distinct()
+    interleaved names match too often, as the reference does. Work grows with spans and ids, not with the spans' lengths."""
+    ids = selected.select("structure_id").distinct()
+    if not by_span:
+        return configuration_of(ids, spans).select("config").distinct()
+    whole = spans.groupBy("config").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
+    # the least selected id that is not below a start: the last mark not above it, both negated
+    marks = ids.select((-F.col("structure_id")).alias("start"), F.col("structure_id").alias("mark"))
+    first = located(whole.withColumn("_from", -F.col("start")), marks, "_from")
+    return first.where(F.col("mark") < F.col("stop")).select("config")
 
 
 def multiset_subtract(full: DataFrame, initial: DataFrame, key: list[str], order: str, hot: int = 1_000_000) -> DataFrame:

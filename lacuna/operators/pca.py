@@ -65,27 +65,28 @@ def project(df: DataFrame, model: PcaModel, features: str = "features", prefix:
     return df.withColumns(columns)
 
 
-def project_by(df: DataFrame, models: dict, key: str, features: str = "features") -> DataFrame:
-    parts = [project(df.where(F.col(key) == F.lit(name)), model, features) for name, model in sorted(models.items(), key=lambda x: str(x[0]))]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+def project_by(df: DataFrame, models: dict, key: str, features: str = "features", prefix: str = "pc") -> DataFrame:
+    """df with pc1, pc2, ... by the model of its key, in one scan; keys without a model are left out. A row a key is sent."""
+    k = max(len(m.components) for m in models.values())
+    rows = [(name, [(m.components[c] / m.scale).tolist() for c in range(k)], [float(m.components[c] / m.scale @ m.mean) for c in range(k)]) for name, m in models.items()]
+    table = df.sparkSession.createDataFrame(rows, f"_key {df.schema[key].dataType.simpleString()}, _w array<array<double>>, _o array<double>")
+    joined = df.join(F.broadcast(table), F.col(key) == F.col("_key"))  # the models came from the driver
+    dot = lambda w: F.aggregate(F.zip_with(F.col(features), w, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    return joined.withColumns({f"{prefix}{c + 1}": dot(F.get("_w", F.lit(c))) - F.get("_o", F.lit(c)) for c in range(k)}).drop("_key", "_w", "_o")
 
 
 def explained(models: dict, spark, key: str) -> DataFrame:
     return spark.createDataFrame([(name, m.explained) for name, m in models.items()], f"{key} long, explained double")
 
 
-def cluster_sample(df: DataFrame, features: str, n_clusters: int, per_cluster: int, id_column: str, k: int = 2, seed: int = 1) -> DataFrame:
-    """Standardise, project, cluster, and keep per_cluster points of each cluster. Clusters come from bisecting k-means, as
-    Spark has no tree-based clustering: a documented deviation. Which points stand for a cluster goes by a hash."""
-    from pyspark.ml.clustering import BisectingKMeans
-    from pyspark.ml.functions import array_to_vector
+def cluster_sample(df: DataFrame, features: str, n_clusters: int, per_cluster: int, id_column: str, k: int = 2, seed: int = 1, threshold: float = 0.1) -> DataFrame:
+    """Standardise, project, cluster by clustering features of the threshold, and keep per_cluster points of each cluster. Which
+    points stand for a cluster goes by a hash."""
     from pyspark.sql import Window
 
+    from lacuna.operators.cluster import cluster
+
     model = fit(df, features, None, k)[None]
-    points = project(df, model, features).withColumn("_v", array_to_vector(F.array(*[F.col(f"pc{i + 1}") for i in range(k)])))
-    clusters = BisectingKMeans(k=n_clusters, seed=seed, featuresCol="_v", predictionCol="cluster").fit(points).transform(points)
+    clusters, _ = cluster(project(df, model, features), [f"pc{i + 1}" for i in range(k)], n_clusters, threshold)
     order = Window.partitionBy("cluster").orderBy(F.xxhash64(F.col(id_column), F.lit(seed)), id_column)
-    return clusters.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= per_cluster).drop("_r", "_v")
+    return clusters.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= per_cluster).drop("_r")

@@ -8,6 +8,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lacuna.operators import lineage
+
 MEAN_COVERAGE = 90
 
 
@@ -19,11 +21,17 @@ def strided(r: Column, length: Column, num: int) -> Column:
     return F.when(length <= num, r < num).otherwise((r < a) | ((r >= a) & (F.pmod(r - a, c) == 0)))
 
 
+def _placed(df: DataFrame, order: list[Column]) -> DataFrame:
+    """df with place, from 0 by `order`, and length, without a task that sorts all rows."""
+    length = df.count()
+    return lineage.ranked(df, order).withColumnRenamed("rank", "place").withColumn("length", F.lit(length))
+
+
 def fwss(cover: DataFrame, num: int) -> DataFrame:
     """The rows of cover(structure_id, freq, ...) that the stride keeps, with place; order: freq desc, id asc."""
-    everything = Window.partitionBy(F.lit(0))  # a cover: as many rows as structures picked, one task already held them
-    placed = cover.withColumns({"place": F.row_number().over(everything.orderBy(F.col("freq").desc(), "structure_id")) - 1, "length": F.count("*").over(everything)})
-    return placed.where(strided(F.col("place"), F.col("length"), num)).drop("length")
+    placed = _placed(cover.drop("rank"), [-F.col("freq"), F.col("structure_id")])
+    kept = placed.where(strided(F.col("place"), F.col("length"), num)).drop("length")
+    return kept.join(cover.select("structure_id", "rank"), "structure_id") if "rank" in cover.columns else kept
 
 
 def fwss_with_mean(cover: DataFrame, mean_selected: DataFrame, num: int, mean_coverage: float) -> DataFrame:
@@ -33,9 +41,8 @@ def fwss_with_mean(cover: DataFrame, mean_selected: DataFrame, num: int, mean_co
     m = mean_selected.select("structure_id", "pos").withColumn("in_mean", F.lit(True))
     c = cover.select("structure_id", "freq").withColumn("in_cover", F.lit(True))
     both = m.join(c, "structure_id", "full").fillna({"in_mean": False, "in_cover": False})
-    everything = Window.partitionBy(F.lit(0))
-    order = everything.orderBy(F.col("in_mean").desc(), F.col("pos"), F.col("freq").desc(), "structure_id")
-    placed = both.withColumns({"place": F.row_number().over(order) - 1, "length": F.count("*").over(everything)})
+    # nulls come first in a range's order: structures of the cover alone come last by in_mean, those of the mean alone by freq
+    placed = _placed(both, [~F.col("in_mean"), F.col("pos"), F.col("freq").isNull(), -F.col("freq"), F.col("structure_id")])
     if mean_coverage > MEAN_COVERAGE:
         keep = strided(F.col("place"), F.col("length"), num)
     else:

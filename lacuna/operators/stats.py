@@ -6,14 +6,17 @@ Quantiles are exact without a task that holds a key's values: see `order_statist
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import re
+import tempfile
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lacuna.functions import numeric
 
 METHODS = ("fd", "scott", "std", "self_input")
-#: Parts of a key's range that are counted to find its quantiles.
-CELLS = 4096
+#: Rows of a window of values that are ranked at once, and parts by rank of a larger one.
+SMALL, CELLS = 1_000_000, 1000
 
 
 def explode_features(df: DataFrame, features: str = "features", keep: list[str] | None = None) -> DataFrame:
@@ -61,34 +64,60 @@ def fixed_width_stats(df: DataFrame, width_table: DataFrame, keys: list[str], va
     return out.withColumn("nbins", numeric.width_bins(span, F.coalesce("width", F.lit(0.0)))).withColumn("step", span / F.col("nbins")).drop("width")
 
 
-def order_statistics(df: DataFrame, keys: list[str], value: str, quantiles: tuple[float, ...]) -> DataFrame:
-    """Exact linear-interpolated quantiles: keys and one column q0, q1, ... for each quantile.
+def order_statistics(df: DataFrame, keys: list[str], value: str, quantiles: tuple[float, ...], small: int = SMALL) -> DataFrame:
+    """Exact linear-interpolated quantiles: keys and one column q0, q1, ... for each quantile. Nulls do not count.
 
-    Counts in CELLS equal parts of a key's range tell which parts hold the values looked for; only the different values of
-    these parts are ranked. A key's rows are never in one task, however many they are. Nulls do not count.
+    Each place that a quantile needs lies in a window of values, at first all of the key's. While windows hold more than
+    `small` rows, an approximate summary of them tells narrower ones by rank, so that outliers do not matter, and the rows
+    before and within these are counted. The different values of the last windows are ranked, `small` of them at most, unless
+    the values next to a place cannot be told apart.
     """
     rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
     ends = rows.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
-    share = F.try_divide(F.col("_v") - F.col("_low"), F.col("_high") - F.col("_low"))
-    # infinite ends make the share NaN, for the largest values or for all: their cell is the last
-    cell = F.when(F.isnan(share), F.lit(CELLS - 1)).otherwise(F.least(F.floor(F.coalesce(share, F.lit(0.0)) * CELLS), F.lit(CELLS - 1))).cast("int")
-    rows = rows.join(ends, keys).withColumn("_cell", cell)
-    counts = rows.groupBy(*keys, "_n", "_cell").agg(F.count("*").alias("_c"))
-    upto = F.sum("_c").over(Window.partitionBy(*keys).orderBy("_cell"))  # CELLS rows a key at most
-    counts = counts.withColumn("_before", upto - F.col("_c"))
     places = sorted({f for q in quantiles for f in ((q, "floor"), (q, "ceil"))})
     place = lambda q, side: getattr(F, side)((F.col("_n") - 1) * F.lit(float(q)))
-    holds = F.lit(False)
-    for q, side in places:
-        holds = holds | ((F.col("_before") <= place(q, side)) & (place(q, side) < F.col("_before") + F.col("_c")))
-    some = rows.join(counts.where(holds).select(*keys, "_cell", "_before"), [*keys, "_cell"])
-    values = some.groupBy(*keys, "_n", "_cell", "_before", "_v").agg(F.count("*").alias("_c"))
-    upto = F.col("_before") + F.sum("_c").over(Window.partitionBy(*keys, "_cell").orderBy("_v"))
-    ranked = values.withColumn("_upto", upto)
-    at = lambda q, side: F.min(F.when((F.col("_upto") - F.col("_c") <= place(q, side)) & (place(q, side) < F.col("_upto")), F.col("_v")))
+    every = F.array_distinct(F.array(*[place(q, side).cast("long") for q, side in places]))
+    windows = stored(ends.withColumn("_place", F.explode(every)).withColumns({"_before": F.lit(0).cast("long"), "_inside": F.col("_n")}))
+    while (most := windows.where("_low < _high").agg(F.max("_inside")).first()[0] or 0) > small:
+        narrower = stored(narrowed(rows, windows, keys, small))
+        windows, last = narrower, most
+        if (narrower.where("_low < _high").agg(F.max("_inside")).first()[0] or 0) >= last:
+            break
+    # a window of one value needs no ranking
+    known = windows.where("_low = _high").select(*keys, "_n", "_place", F.col("_low").alias("_v"))
+    open_ = windows.where("not _low = _high")
+    window = [*keys, "_low", "_high", "_before"]  # places of one window share its ranks
+    values = within(rows, open_.select(*window).distinct(), keys).groupBy(*window, "_v").agg(F.count("*").alias("_c"))
+    upto = F.col("_before") + F.sum("_c").over(Window.partitionBy(*window).orderBy("_v"))
+    held = (F.col("_upto") - F.col("_c") <= F.col("_place")) & (F.col("_place") < F.col("_upto"))
+    found = values.withColumn("_upto", upto).join(open_, window).where(held).select(*keys, "_n", "_place", "_v")
+    at = lambda q, side: F.min(F.when(F.col("_place") == place(q, side), F.col("_v")))
     exact = lambda q: (F.max("_n") - 1) * F.lit(float(q))
     between = lambda q: F.when(at(q, "floor") == at(q, "ceil"), at(q, "floor")).otherwise(at(q, "floor") + (at(q, "ceil") - at(q, "floor")) * (exact(q) - F.floor(exact(q))))
-    return ranked.groupBy(*keys).agg(*[between(q).alias(f"q{i}") for i, q in enumerate(quantiles)])
+    return known.union(found).groupBy(*keys).agg(*[between(q).alias(f"q{i}") for i, q in enumerate(quantiles)])
+
+
+def within(rows: DataFrame, windows: DataFrame, keys: list[str]) -> DataFrame:
+    """rows once for each window of their key that holds them: a few windows a key."""
+    held = (F.col("_v") >= F.col("_low")) & (F.col("_v") <= F.col("_high"))
+    joined = rows.join(windows, keys) if keys else rows.crossJoin(F.broadcast(windows))  # a window a place
+    return joined.where(held)
+
+
+def narrowed(rows: DataFrame, windows: DataFrame, keys: list[str], small: int) -> DataFrame:
+    """The windows of more than `small` rows cut to about a five hundredth of their rows around their place."""
+    inside = within(rows, windows.where(F.col("_inside") > small).where("_low < _high"), keys)
+    of = [*keys, "_n", "_place", "_before", "_inside", "_low", "_high"]
+    edges = inside.groupBy(*of).agg(F.percentile_approx("_v", [i / CELLS for i in range(CELLS + 1)], 10 * CELLS).alias("_edges"))
+    share = (F.col("_place") - F.col("_before")) / F.col("_inside") * CELLS
+    low, high = F.greatest(F.floor(share) - 1, F.lit(0)).cast("int"), F.least(F.ceil(share) + 1, F.lit(CELLS)).cast("int")
+    ends = edges.select(*of, F.when(low == 0, F.col("_low")).otherwise(F.get("_edges", low)).alias("_a"), F.when(high == CELLS, F.col("_high")).otherwise(F.get("_edges", high)).alias("_z"))
+    counted = within(rows, ends, keys).groupBy(*of, "_a", "_z").agg(F.count_if(F.col("_v") < F.col("_a")).alias("_less"), F.count_if(F.col("_v").between(F.col("_a"), F.col("_z"))).alias("_held"))
+    before = F.col("_before") + F.col("_less")
+    right = (before <= F.col("_place")) & (F.col("_place") < before + F.col("_held"))
+    pick = lambda yes, no: F.when(right, yes).otherwise(F.col(no))
+    cut = counted.select(*keys, "_n", pick(F.col("_a"), "_low").alias("_low"), pick(F.col("_z"), "_high").alias("_high"), "_place", pick(before, "_before").alias("_before"), pick(F.col("_held"), "_inside").alias("_inside"))
+    return windows.where((F.col("_inside") <= small) | (F.col("_low") >= F.col("_high"))).select(*cut.columns).union(cut)
 
 
 def mean_descriptor(df: DataFrame, keys: list[str], features: str = "features") -> DataFrame:
@@ -97,10 +126,18 @@ def mean_descriptor(df: DataFrame, keys: list[str], features: str = "features")
     return means.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("dim", "m"))), lambda x: x["m"]).alias("features"))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named in spark.checkpoint.dir. Only within one process (tests) a local one is made where that is unset."""
+    if folder := spark.conf.get("spark.checkpoint.dir", None):
+        return folder.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return tempfile.mkdtemp(prefix="lacuna-")
+
+
 def stored(df: DataFrame) -> DataFrame:
-    """df without its lineage, in the shared checkpoint folder where one is set."""
+    """df without its lineage, in the shared checkpoint folder: a lost executor reads it again and does not make it anew."""
     context = df.sparkSession.sparkContext
-    folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-    if not context._jsc.sc().getCheckpointDir().isDefined() and folder:
-        context.setCheckpointDir(folder)
-    return df.checkpoint() if context._jsc.sc().getCheckpointDir().isDefined() else df.persist()
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()

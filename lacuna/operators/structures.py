@@ -11,6 +11,21 @@ from pyspark.sql import functions as F
 
 from lacuna.functions.tensors import cartesian, determinant, fractional, max_force, scaled
 from lacuna.functions.text import glob_to_regex
+from lacuna.operators import symmetry
+
+
+#: The elements in order of atomic number, from 1.
+ATOMIC_ORDER = (
+    "H He Li Be B C N O F Ne Na Mg Al Si P S Cl Ar K Ca Sc Ti V Cr Mn Fe Co Ni Cu Zn Ga Ge As Se Br Kr Rb Sr Y Zr Nb Mo Tc Ru Rh Pd Ag Cd In Sn Sb Te I Xe "
+    "Cs Ba La Ce Pr Nd Pm Sm Eu Gd Tb Dy Ho Er Tm Yb Lu Hf Ta W Re Os Ir Pt Au Hg Tl Pb Bi Po At Rn Fr Ra Ac Th Pa U Np Pu Am Cm Bk Cf Es Fm Md No Lr Rf Db Sg Bh Hs Mt Ds Rg Cn Nh Fl Mc Lv Ts Og"
+).split()
+
+
+def by_atomic_number(elements: list[str]) -> list[str]:
+    """Elements, each once, in order of atomic number; a name that is none is an error."""
+    if wrong := [e for e in elements if e not in ATOMIC_ORDER]:
+        raise ValueError(f"no elements: {wrong}")
+    return sorted(dict.fromkeys(elements), key=ATOMIC_ORDER.index)
 
 
 def body_slice(df: DataFrame, index: list[int], features: str = "features") -> DataFrame:
@@ -29,8 +44,9 @@ def in_elements(df: DataFrame, elements: int, elem: str = "elem") -> DataFrame:
     return df.where((F.col(elem) >= 0) & (F.col(elem) < elements))
 
 
-def element_index(df: DataFrame, elements: list[str], symbol: str = "symbol") -> DataFrame:
-    """Type index by place in `elements`; null for others."""
+def element_index(df: DataFrame, elements: list[str], symbol: str = "symbol", by_number: bool = False) -> DataFrame:
+    """Type index by place in `elements`, as given or in order of atomic number; null for others."""
+    elements = by_atomic_number(elements) if by_number else elements
     at = F.array_position(F.array(*[F.lit(e) for e in elements]), F.col(symbol)).cast("int") - 1
     return df.withColumn("elem", F.when(at >= 0, at))
 
@@ -214,40 +230,9 @@ def direction_displacement(direction: Column, cell: Column, length: float) -> Co
     return F.when(size > 0, F.transform(v, lambda x: x * F.try_divide(F.lit(float(length)), size)))
 
 
-DIRECTIONS = tuple(d for d in itertools.product((1, 0, -1), repeat=3) if any(d) and next(x for x in d if x) > 0)
-
-
-def displacement_directions(rotations: list[np.ndarray], candidates: tuple = DIRECTIONS) -> list[tuple]:
-    """The fewest directions whose images under the site's rotations span space, one before two before three, each with its
-    negative where no rotation gives that."""
-
-    def images(d):
-        return np.array([r @ np.array(d) for r in rotations])
-
-    for n in (1, 2, 3):
-        for some in itertools.combinations(candidates, n):
-            if np.linalg.matrix_rank(np.concatenate([images(d) for d in some])) == 3:
-                out = []
-                for d in some:
-                    out.append(d)
-                    if not any(np.array_equal(x, -np.array(d)) for x in images(d)):
-                        out.append(tuple(-x for x in d))
-                return out
-    raise ValueError("no directions span space")
-
-
-def displacements(sites: DataFrame, length: float) -> DataFrame:
+def displacements(sites: DataFrame, length: float, candidates: tuple = symmetry.DIAGONAL, minus: str = "auto", trigonal: bool = False) -> DataFrame:
     """sites(structure_id, atom_idx, cell, rotations) -> one row per displacement with dx, dy, dz."""
-
-    def expand(batches):
-        for pdf in batches:
-            rows = []
-            for r in pdf.itertuples(index=False):
-                for k, d in enumerate(displacement_directions([np.array(list(x), int).reshape(3, 3) for x in r.rotations])):
-                    rows.append((r.structure_id, r.atom_idx, k, list(r.cell), [float(x) for x in d]))
-            yield pd.DataFrame(rows, columns=["structure_id", "atom_idx", "k", "cell", "direction"])
-
-    out = sites.mapInPandas(expand, "structure_id long, atom_idx int, k int, cell array<double>, direction array<double>")
+    out = symmetry.directions(sites, candidates, minus, trigonal).withColumn("direction", F.col("direction").cast("array<double>"))
     v = direction_displacement(F.col("direction"), F.col("cell"), length)
     return out.select("structure_id", "atom_idx", "k", "direction", *[F.get(v, F.lit(i)).alias(f"d{c}") for i, c in enumerate("xyz")])
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from lacuna.functions import numeric, tensors, text
 from lacuna.operators import cover, coverage, histogram, intervals, lineage, metrics, pca, select, stats, structures
+from lacuna.operators.stats import stored
 from lacuna.plans import adapters, reduce, report, sampling
 from lacuna.plans.adapters import embedding_rows, embedding_values, event_values, line_forces, table
 
@@ -74,6 +75,12 @@ def split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.where("is_ref"), df.where("not is_ref")
 
 
+def binned(ref: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Stats of the reference, a row a key, and its histogram, a row a bin, each made once."""
+    of = stored(stats.dim_stats(ref, ED))
+    return of, stored(histogram.counts(ref, of, ED))
+
+
 # ---- histograms and coverage of events
 
 
@@ -83,8 +90,7 @@ JOIN (SELECT elem, count(*) FILTER (WHERE freq <= 0) AS n_zero_bins FROM h GROUP
 JOIN (SELECT elem, count(*) AS n_query, count(*) FILTER (WHERE NOT covered) AS n_uncovered, 100.0::DOUBLE * avg(covered::INT::DOUBLE) AS coverage FROM l GROUP BY elem) c USING (elem)""")
 def event_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     ref, cand = split(event_values(spark, sf_dir))
-    of = stats.dim_stats(ref, ED)
-    bins = histogram.counts(ref, of, ED)
+    of, bins = binned(ref)
     labelled = intervals.label_covered(cand, of, histogram.low_intervals(bins), ED)
     n_zero = bins.groupBy("elem").agg(F.count_if(F.col("freq") <= 0).alias("n_zero_bins"))
     by = labelled.groupBy("elem").agg(F.count("*").alias("n_query"), F.count_if(~F.col("covered")).alias("n_uncovered"))
@@ -113,7 +119,7 @@ _dim_stats("self_input", "7.5::DOUBLE", width=7.5)
 def _hist(name: str, where: str, keep):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ref, _ = split(event_values(spark, sf_dir))
-        out = keep(histogram.counts(ref, stats.dim_stats(ref, ED), ED))
+        out = keep(binned(ref)[1])
         return out.select("elem", "bin", r("lo").alias("lo"), r("hi").alias("hi"), "freq")
 
     run.__name__ = name
@@ -141,8 +147,7 @@ SELECT elem, a.rate AS coverage_0, b.rate AS coverage_2 FROM (SELECT elem, round
 JOIN (SELECT elem, round(100.0::DOUBLE * avg(covered::INT::DOUBLE), 6) AS rate FROM m GROUP BY elem) b USING (elem)""")
 def state_population_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     ref, cand = split(event_values(spark, sf_dir))
-    of = stats.dim_stats(ref, ED)
-    bins = histogram.counts(ref, of, ED)
+    of, bins = binned(ref)
     rates = [coverage.coverage_rate(intervals.label_covered(cand, of, histogram.low_intervals(bins, p), ED), ["elem"]).select("elem", r("coverage").alias(f"coverage_{p}")) for p in (0, 2)]
     return rates[0].join(rates[1], "elem")
 
@@ -162,8 +167,8 @@ mem AS (SELECT i.elem, i.interval_id, c.structure_id, c.atom_idx FROM cand c JOI
 
 def _novel(spark: SparkSession, sf_dir: str) -> DataFrame:
     ref, cand = split(event_values(spark, sf_dir))
-    of = stats.dim_stats(ref, ED)
-    zero = histogram.low_intervals(histogram.counts(ref, of, ED)).select(*ED, "lo", "hi")
+    of, bins = binned(ref)
+    zero = histogram.low_intervals(bins).select(*ED, "lo", "hi")
     ends = cand.groupBy(*ED).agg(F.min("value").alias("vmin"), F.max("value").alias("vmax"))
     return intervals.classes(cand, intervals.novelty_intervals(of, ends, zero, ED), ED)
 
@@ -254,21 +259,21 @@ def reduce_reference_guided(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def generation_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     ref, cand = split(_event_descriptors(spark, sf_dir))
-    return sampling.sample(ref, cand, [90.0, 99.0, 100.0], [40, 20, 10])[0]
+    return sampling.sample(ref, cand, [90.0, 99.0, 100.0], [40, 20, 10])[0].select("structure_id", "freq", "place")
 
 
 @query()
 def mean_descriptor_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     ref, cand = split(embedding_rows(spark, sf_dir))
-    return sampling.mean_sample(ref, cand, [90.0, 100.0], [20, 10])[0]
+    return sampling.mean_sample(ref, cand, [90.0, 100.0], [20, 10])[0].select("structure_id", "freq", "place")
 
 
 @query(f"""{BASE}, {covered_sql('cand', ('elem',))}, c AS (SELECT elem, structure_id % 4 AS config, 100.0::DOUBLE * avg(covered::INT::DOUBLE) AS rate FROM l GROUP BY elem, config)
 SELECT elem, round(least(100.0::DOUBLE, min(rate)), 6) AS coverage FROM c GROUP BY elem""")
 def per_configuration_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     ref, cand = split(event_values(spark, sf_dir))
-    of = stats.dim_stats(ref, ED)
-    labelled = intervals.label_covered(cand.withColumn("config", F.col("structure_id") % 4), of, histogram.low_intervals(histogram.counts(ref, of, ED)), ED)
+    of, bins = binned(ref)
+    labelled = intervals.label_covered(cand.withColumn("config", F.col("structure_id") % 4), of, histogram.low_intervals(bins), ED)
     rates = coverage.coverage_rate(labelled, ["config", "elem"])
     return coverage.across_batches(rates, ["elem"]).select("elem", r("coverage").alias("coverage"))
 
@@ -278,8 +283,8 @@ g AS (SELECT * FROM (VALUES (0, 90.0::DOUBLE, 40), (1, 99.9::DOUBLE, 20), (2, 10
 SELECT coalesce((SELECT budget FROM x WHERE rate < threshold ORDER BY threshold, stage LIMIT 1), 0)::INTEGER AS budget, (SELECT bool_and(rate > 100.0) FROM c) AS converged""")
 def budget_by_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     ref, cand = split(event_values(spark, sf_dir))
-    of = stats.dim_stats(ref, ED)
-    rates = coverage.coverage_rate(intervals.label_covered(cand, of, histogram.low_intervals(histogram.counts(ref, of, ED)), ED), ["elem"])
+    of, bins = binned(ref)
+    rates = coverage.coverage_rate(intervals.label_covered(cand, of, histogram.low_intervals(bins), ED), ["elem"])
     stages = rates.select("elem").crossJoin(spark.createDataFrame([(0, 90.0, 40), (1, 99.9, 20), (2, 100.0, 10)], "stage int, threshold double, budget int"))
     return select.budget(rates, stages)
 
@@ -302,8 +307,8 @@ EMB_BASE = f"WITH {EMB}, ref AS (SELECT * FROM e WHERE is_ref), cand AS (SELECT
 
 def _embedding_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     ref, cand = split(embedding_values(spark, sf_dir))
-    of = stats.dim_stats(ref, ED)
-    return intervals.label_covered(cand, of, histogram.low_intervals(histogram.counts(ref, of, ED)), ED)
+    of, bins = binned(ref)
+    return intervals.label_covered(cand, of, histogram.low_intervals(bins), ED)
 
 
 def _embedding_coverage(how: str):
@@ -349,14 +354,16 @@ def pca_grid_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     models = pca.fit(ref, "features", "elem")
     flat = lambda df: pca.project_by(df, models, "elem").select("elem", "structure_id", F.posexplode(F.array("pc1", "pc2")).alias("dim", "value"))
     q, d = flat(cand), flat(ref)
-    return coverage.grid_coverage(q, d, coverage.grid_stats(q, ["elem"], "dim", "value"), ["elem"], "dim", "value", ["structure_id"])
+    out = coverage.grid_coverage(q, d, coverage.grid_stats(q, ["elem"], "dim", "value"), ["elem"], "dim", "value", ["structure_id"])
+    return out.withColumn("coverage", r("coverage", 10))
 
 
 @query()
 def coverage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = embedding_rows(spark, sf_dir)
     ref, cand = split(e)
-    return report.coverage_report(ref.withColumn("main", (F.col("structure_id") % 8 / 2 - 1).cast("int")).drop("is_ref"), cand.drop("is_ref"), "all")
+    out = report.coverage_report(ref.withColumn("main", (F.col("structure_id") % 8 / 2 - 1).cast("int")).drop("is_ref"), cand.drop("is_ref"), "all")
+    return out.withColumns({c: r(c, 10) for c in ("coverage_2d", "coverage_1d", "mean_covered_1d")} | {"explained": r("explained")})
 
 
 @query(f"""WITH {EV}, ref AS (SELECT * FROM e WHERE is_ref), cand AS (SELECT * FROM e WHERE NOT is_ref),
@@ -556,7 +563,8 @@ def elements_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT p_brand, p_type, p_size % 3 AS third, count(*) AS n FROM part GROUP BY CUBE (p_brand, p_type, p_size % 3) HAVING grouping(p_brand) + grouping(p_type) + grouping(p_size % 3) < 3")
 def powerset_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part").withColumn("third", F.col("p_size") % 3)
-    return p.cube("p_brand", "p_type", "third").agg(F.count("*").alias("n"), F.grouping_id().alias("g")).where("g < 7").drop("g")
+    sets = [[F.col(c) for c in some] for some in structures.power_set(["p_brand", "p_type", "third"])]
+    return p.groupingSets(sets, "p_brand", "p_type", "third").agg(F.count("*").alias("n"))
 
 
 @query("""SELECT event_type, count(*) AS n FROM events WHERE CAST(json_extract(props, '$.k') AS DOUBLE) = 7 GROUP BY event_type""")
@@ -610,4 +618,4 @@ def order_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 assert adapters.SPLIT == "2024-01-16"  # the SQL above has it as a literal
 
-from lacuna.plans import rules  # noqa: E402, F401  registers more queries
+from lacuna.plans import flows, proofs, rules  # noqa: E402, F401  register more queries and SQL

@@ -44,14 +44,14 @@ def numbered(memberships: DataFrame) -> DataFrame:
 
 def self_classes(candidate: DataFrame, binning: Binning) -> DataFrame:
     """Occupied intervals of the candidates themselves. An interval's members are those of its histogram bin."""
-    of = stats_of(candidate, binning)
+    of = stored(stats_of(candidate, binning))
     occupied = histogram.occupied_intervals(histogram.counts(candidate, of, KEYS)).select(*KEYS, "lo", "hi")
     return numbered(intervals.classes(candidate, occupied, KEYS))
 
 
 def novelty_classes(reference: DataFrame, candidate: DataFrame, binning: Binning, widths: DataFrame | None = None) -> DataFrame:
     """Classes of candidates in the reference's zero intervals and outside its range."""
-    ref = stats_of(reference, binning, widths)
+    ref = stored(stats_of(reference, binning, widths))
     zero = histogram.low_intervals(histogram.counts(reference, ref, KEYS), binning.state_population).select(*KEYS, "lo", "hi")
     ends = candidate.groupBy(*KEYS).agg(F.min("value").alias("vmin"), F.max("value").alias("vmax"))
     return numbered(intervals.classes(candidate, intervals.novelty_intervals(ref, ends, zero, KEYS), KEYS))
@@ -68,6 +68,12 @@ def select_guided(reference: DataFrame, candidate: DataFrame, binning: Binning,
     return cover.min_cover(novelty_classes(reference, candidate, binning, widths)).select("structure_id")
 
 
+def to_global(local: DataFrame, start: int, size: int) -> DataFrame:
+    """Places in a chunk to places in the whole: places outside the chunk are left out, and each counts once."""
+    inside = local.where((F.col("place") >= 0) & (F.col("place") < size))
+    return inside.select((F.col("place") + start).alias("place")).distinct()
+
+
 def flagged(candidate: DataFrame, selected: DataFrame) -> DataFrame:
     """structure_id and selected for every candidate structure: disjoint parts that make up the input."""
     return ids(candidate).join(selected.select("structure_id", F.lit(True).alias("selected")), "structure_id", "left").fillna({"selected": False})

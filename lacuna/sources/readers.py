@@ -1,5 +1,5 @@
 """Readers of structure files. Files are split into blocks by Spark itself (a block separator as line separator), so large
-files are read in parallel from any store; extended XYZ has no separator and is read one file a task.
+files are read in parallel from any store; extended XYZ has no separator and is read by the data source in frames.py.
 
 Every reader gives file and structure_id (the ordinal of the block in its file); a malformed block is an error.
 """
@@ -19,15 +19,23 @@ STRUCTURE = (
     "file string, structure_id long, n_atoms int, cell array<double>, symbols array<string>, positions array<array<double>>, "
     "forces array<array<double>>, energy double, virial array<double>, main int, label string, info map<string,string>"
 )
+#: The elements of the universal type numbers, from 0; noble gases and rare radioactive ones have none.
+UNIVERSAL = (
+    "H Li Be B C N O F Na Mg Al Si P S Cl K Ca Sc Ti V Cr Mn Fe Co Ni Cu Zn Ga Ge As Se Br Rb Sr Y Zr Nb Mo Tc Ru Rh Pd Ag Cd In Sn Sb Te I "
+    "Cs Ba La Ce Pr Nd Pm Sm Eu Gd Tb Dy Ho Er Tm Yb Lu Hf Ta W Re Os Ir Pt Au Hg Tl Pb Bi Ac Th Pa U Np Pu"
+).split()
 _PAIR = re.compile(r"""([A-Za-z_][\w-]*)=(?:"([^"]*)"|'([^']*)'|(\S+))""")
 
 
-def blocks(spark: SparkSession, path: str, separator: str, marker: str) -> DataFrame:
-    """file, structure_id and block: the text between separators that contains marker, numbered in file order."""
+def blocks(spark: SparkSession, path: str | list[str], separator: str, marker: str) -> DataFrame:
+    """file, structure_id and block: the text between separators that contains marker, numbered in file order. Blocks of a
+    split follow one another in their task; the splits' counts, a row each, number them over the file."""
     rows = spark.read.option("lineSep", separator).text(path).select(F.col("value").alias("block"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
-    rows = rows.withColumn("row", F.monotonically_increasing_id()).where(F.col("block").contains(marker))
-    order = Window.partitionBy("file").orderBy("at", "row")
-    return rows.withColumn("structure_id", F.row_number().over(order).cast("long") - 1).select("file", "structure_id", "block")
+    rows = rows.where(F.col("block").contains(marker)).withColumn("row", F.monotonically_increasing_id())
+    splits = rows.groupBy("file", "at").agg(F.min("row").alias("first"), F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, -1))  # a row a split
+    offsets = splits.select("file", "at", (F.coalesce(before, F.lit(0)) - F.col("first")).alias("shift"))
+    return rows.join(offsets, ["file", "at"]).select("file", (F.col("row") + F.col("shift")).alias("structure_id"), "block")
 
 
 def lines_of(block: Column) -> Column:
@@ -48,11 +56,12 @@ def after(lines: Column, starts: str) -> Column:
     return F.when(at > 0, F.get(lines, at.cast("int")))
 
 
-def read_cfg(spark: SparkSession, path: str, elements: list[str] | None = None) -> DataFrame:
+def read_cfg(spark: SparkSession, path: str, elements: list[str] | str | None = None) -> DataFrame:
     """file, structure_id, n_atoms, cell, atoms (id, type, position, force or null), energy, stress6 (xx yy zz yz xz xy), and
-    symbols where `elements` names the types."""
+    symbols where `elements` names the types, or is `universal`."""
+    elements = UNIVERSAL if elements == "universal" else elements
     rows = blocks(spark, path, "END_CFG", "BEGIN_CFG").withColumn("lines", lines_of(F.regexp_extract("block", r"(?s)(BEGIN_CFG.*)", 1)))
-    line = lambda k: F.element_at("lines", F.lit(k))
+    line = lambda k: F.get("lines", F.lit(k - 1))  # noqa: E731  null for what is no block
     size = F.get(words(line(3)), F.lit(0)).cast("int")
     rows = rows.withColumn("n_atoms", size)
     atom_words = F.transform(F.slice("lines", F.lit(9), F.col("n_atoms")), words)
@@ -73,8 +82,10 @@ def cfg_to_structures(cfg: DataFrame) -> DataFrame:
     return cfg.select("file", "structure_id", "n_atoms", "cell", "symbols", F.transform("atoms", lambda a: a["position"]).alias("positions"), forces.alias("forces"), "energy", to_nine(F.col("stress6")).alias("virial"))
 
 
-def count_cfg(spark: SparkSession, path: str) -> int:
-    return spark.read.text(path).where(F.trim("value") == "BEGIN_CFG").count()
+def count_cfg(spark: SparkSession, path: str, strict: bool = False) -> int:
+    """Blocks by their first lines, with blanks around or, if strict, exactly so and ended by a line feed alone."""
+    lines = spark.read.option("lineSep", "\n").text(path)
+    return lines.where((F.col("value") if strict else F.regexp_replace("value", r"^\s+|\s+$", "")) == "BEGIN_CFG").count()
 
 
 def read_descriptors(spark: SparkSession, path: str, elements: int | None = None) -> DataFrame:
@@ -82,7 +93,7 @@ def read_descriptors(spark: SparkSession, path: str, elements: int | None = None
     [0, elements) are dropped."""
     rows = blocks(spark, path, "#start", "\n").withColumn("lines", F.split("block", r"\r?\n"))
     rows = rows.where(F.trim(F.get("lines", F.lit(0))).rlike(r"^\d+"))
-    n = F.get(words(F.get("lines", F.lit(0))), F.lit(0)).cast("int")
+    n = F.get(words(F.get("lines", F.lit(0))), F.lit(0)).try_cast("int")
     atoms = rows.select("file", "structure_id", F.posexplode(F.slice("lines", F.lit(2), n)).alias("atom_idx", "line")).where(F.trim("line") != "")
     out = atoms.select("file", "structure_id", "atom_idx", numbers(F.col("line")).alias("x"))
     out = out.where(F.size("x") >= 2).select("file", "structure_id", "atom_idx", F.get("x", F.lit(0)).cast("int").alias("elem"), F.slice("x", F.lit(2), F.size("x")).alias("features"))
@@ -112,9 +123,42 @@ def read_dump(spark: SparkSession, path: str, elements: list[str]) -> DataFrame:
     return rows.select("file", "structure_id", "n_atoms", "cell", symbols.alias("symbols"), F.transform("atoms", lambda a: a["p"]).alias("positions"), F.transform("atoms", lambda a: a["f"]).alias("forces"), energy.alias("energy"))
 
 
+def one_frame(lines: list[str]) -> dict:
+    """A frame of extended XYZ from its lines: the number of atoms, the header, the atoms."""
+    n = int(lines[0].split()[0])
+    info = {m[1]: m[2] if m[2] is not None else m[3] if m[3] is not None else m[4] for m in _PAIR.finditer(lines[1])}
+    by_name = {k.lower(): v for k, v in info.items()}
+    columns, place = {}, 0
+    parts = by_name.get("properties", "species:S:1:pos:R:3").split(":")
+    for name, _, width in zip(parts[::3], parts[1::3], parts[2::3], strict=True):
+        columns[name.lower()] = (place, int(width))
+        place += int(width)
+    rows = [x.split() for x in lines[2 : 2 + n]]
+
+    def vectors(*names: str) -> list[list[float]] | None:
+        for name in names:
+            if name in columns:
+                a, w = columns[name]
+                return [[float(x) for x in r[a : a + w]] for r in rows]
+        return None
+
+    def floats(key: str) -> list[float] | None:
+        return [float(x) for x in by_name[key].split()] if by_name.get(key) else None
+
+    species = columns.get("species", (0, 1))[0]
+    main = by_name.get("main")
+    return {
+        "n_atoms": n, "cell": floats("lattice"), "symbols": [r[species] for r in rows], "positions": vectors("pos"),
+        "forces": vectors("forces", "force"), "energy": float(by_name["energy"]) if "energy" in by_name else None, "virial": floats("virial"),
+        "main": int(round(float(main))) if main is not None else None, "label": by_name.get("label"),
+        "info": {k: v for k, v in info.items() if k.lower() not in ("lattice", "properties", "energy", "virial", "main", "label", "pbc")},
+    }
+
+
 def parse_frames(text: str) -> Iterator[dict]:
     """Frames of an extended XYZ text; blank lines between frames are passed over, a cut-off frame is an error."""
-    lines, at, ordinal = text.splitlines(), 0, 0
+    lines, at, ordinal = text.split("\n"), 0, 0
+    lines = lines[:-1] if lines[-1] == "" else lines
     while at < len(lines):
         if not lines[at].strip():
             at += 1
@@ -122,37 +166,19 @@ def parse_frames(text: str) -> Iterator[dict]:
         n = int(lines[at].split()[0])
         if at + 2 + n > len(lines):
             raise ValueError(f"frame {ordinal} is cut off")
-        info = {m[1]: m[2] if m[2] is not None else m[3] if m[3] is not None else m[4] for m in _PAIR.finditer(lines[at + 1])}
-        by_name = {k.lower(): v for k, v in info.items()}
-        columns, place = {}, 0
-        parts = by_name.get("properties", "species:S:1:pos:R:3").split(":")
-        for name, _, width in zip(parts[::3], parts[1::3], parts[2::3], strict=True):
-            columns[name.lower()] = (place, int(width))
-            place += int(width)
-        rows = [x.split() for x in lines[at + 2 : at + 2 + n]]
-
-        def vectors(*names, columns=columns, rows=rows):
-            for name in names:
-                if name in columns:
-                    a, w = columns[name]
-                    return [[float(x) for x in r[a : a + w]] for r in rows]
-            return None
-
-        def floats(key, by_name=by_name):
-            return [float(x) for x in by_name[key].split()] if by_name.get(key) else None
-
-        species = columns.get("species", (0, 1))[0]
-        main = by_name.get("main")
-        yield {
-            "structure_id": ordinal, "n_atoms": n, "cell": floats("lattice"), "symbols": [r[species] for r in rows], "positions": vectors("pos"),
-            "forces": vectors("forces", "force"), "energy": float(by_name["energy"]) if "energy" in by_name else None, "virial": floats("virial"),
-            "main": int(round(float(main))) if main is not None else None, "label": by_name.get("label"),
-            "info": {k: v for k, v in info.items() if k.lower() not in ("lattice", "properties", "energy", "virial", "main", "label", "pbc")},
-        }
+        yield {"structure_id": ordinal, **one_frame(lines[at : at + 2 + n])}
         ordinal, at = ordinal + 1, at + 2 + n
 
 
-def read_extxyz(spark: SparkSession, path: str) -> DataFrame:
+def read_extxyz(spark: SparkSession, path: str, range_bytes: int | None = None) -> DataFrame:
+    """Structures of extended XYZ files, read by ranges of bytes."""
+    from lacuna.sources import frames
+
+    return frames.read_frames(spark, path, range_bytes or frames.RANGE_BYTES)
+
+
+def read_extxyz_whole(spark: SparkSession, path: str) -> DataFrame:
+    """The same with one file a task, for stores that only Spark's readers open."""
     texts = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -161,20 +187,20 @@ def read_extxyz(spark: SparkSession, path: str) -> DataFrame:
             for file, text in zip(pdf["file"], pdf["value"], strict=True):
                 frames = [{"file": file, **f} for f in parse_frames(text)]
                 for i in range(0, len(frames), 1000):
-                    out = pd.DataFrame(frames[i : i + 1000], columns=names, dtype=object)
-                    yield out
+                    yield pd.DataFrame(frames[i : i + 1000], columns=names, dtype=object)
 
     return texts.mapInPandas(parse, STRUCTURE)
 
 
 def count_extxyz(spark: SparkSession, path: str) -> int:
     """Frames of a file; 0 where it is missing or empty."""
-    from pyspark.errors import AnalysisException
+    from lacuna.sources import frames
 
     try:
-        return read_extxyz(spark, path).count()
-    except AnalysisException:
+        frames.listed(path)
+    except FileNotFoundError:
         return 0
+    return frames.frame_index(spark, path).agg(F.coalesce(F.sum("frames"), F.lit(0))).first()[0]
 
 
 def scan_folder(spark: SparkSession, path: str, suffixes: tuple[str, ...] = (".cif", ".vasp", ".xyz"), prefixes: tuple[str, ...] = ("POSCAR", "CONTCAR")) -> DataFrame:
@@ -192,3 +218,22 @@ def select_blocks(spark: SparkSession, path: str, selected: DataFrame) -> DataFr
     """structure_id and value: the descriptor blocks of selected(structure_id), with their `#start` lines."""
     rows = blocks(spark, path, "#start", "\n").where(F.trim("block").rlike(r"^\d+"))
     return rows.join(selected.select("structure_id").distinct(), "structure_id", "left_semi").select("structure_id", F.concat(F.lit("#start"), F.regexp_replace("block", r"\s+$", "")).alias("value"))
+
+
+def read_ensemble(spark: SparkSession, paths: dict[str, str], elements: list[str]) -> DataFrame:
+    """model, structure_id, atom_idx, symbol, fx, fy and fz of the dumps of several models over the same frames: all are cut to
+    the shortest complete prefix. A dump's prefix is as many frames from its start as have the first frame's number of atoms;
+    a torn frame has fewer. First frames of unequal numbers of atoms are an error."""
+    dumps = None
+    for model, path in paths.items():
+        one = read_dump(spark, path, elements).withColumn("model", F.lit(model))
+        dumps = one if dumps is None else dumps.unionByName(one)
+    sizes = dumps.select("model", "structure_id", F.size("symbols").alias("n"))  # atom rows that are there, not those announced
+    firsts = sizes.groupBy("model").agg(F.min_by("n", "structure_id").alias("first"))
+    prefixes = sizes.join(F.broadcast(firsts), "model").groupBy("model").agg(F.count_if(F.col("n") == F.col("first")).alias("k"), F.first("first").alias("first"))
+    k = prefixes.agg(F.min("k").alias("k"), F.min("first").alias("low"), F.max("first").alias("high"), F.count("*").alias("models")).first()
+    if k.models != len(paths) or k.low != k.high:
+        raise ValueError(f"dumps without frames, or of unequal numbers of atoms: {[(r.model, r['first']) for r in prefixes.orderBy('model').collect()]}")
+    atoms = F.arrays_zip(F.col("symbols").alias("symbol"), F.col("forces").alias("f"))
+    rows = dumps.where(F.col("structure_id") < k.k).select("model", "structure_id", F.posexplode(atoms).alias("atom_idx", "x"))
+    return rows.select("model", "structure_id", "atom_idx", "x.symbol", *[F.get("x.f", F.lit(i)).alias(f"f{c}") for i, c in enumerate("xyz")])

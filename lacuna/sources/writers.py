@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lacuna.functions.tensors import to_voigt
@@ -29,10 +29,18 @@ def extxyz_text(structures: DataFrame) -> DataFrame:
     return structures.select("structure_id", F.concat_ws("\n", F.size("symbols").cast("string"), header, F.array_join(rows, "\n")).alias("value"))
 
 
-def cfg_text(structures: DataFrame, elements: list[str], allow_missing: bool = False) -> DataFrame:
-    """structure_id and value, a labelled block. Types are places in `elements`. A missing label is an error unless allowed,
+def elements_in(structures: DataFrame) -> list[str]:
+    """The elements of all structures, in order of atomic number: a hundred or so."""
+    from lacuna.operators.structures import by_atomic_number, distinct_elements
+
+    return by_atomic_number([r.symbol for r in distinct_elements(structures).collect()])
+
+
+def cfg_text(structures: DataFrame, elements: list[str] | None = None, allow_missing: bool = False) -> DataFrame:
+    """structure_id and value, a labelled block. Types are places in `elements`, or in the elements that there are in order
+    of atomic number. A missing label is an error unless allowed,
     and then 0; blocks of tables without forces have positions alone."""
-    names = F.array(*[F.lit(e) for e in elements])
+    names = F.array(*[F.lit(e) for e in (elements if elements is not None else elements_in(structures))])
     have = set(structures.columns)
 
     def label(name: str, zero: Column) -> Column:
@@ -88,6 +96,31 @@ def summary_csv(results: DataFrame, body: str = "body", value: str = "coverage")
     return wide.select("dataset", "elem", *[F.format_number(F.col(f"`{c}`"), "0.000000").alias(f"coverage_{c}") for c in wide.columns[2:]])
 
 
+def coverage_csv(results: DataFrame, bodies: list[str], settings: dict[str, str]) -> DataFrame:
+    """The rows of a coverage report as text columns: dataset, element, the settings, coverages as shares with ten decimals and
+    as percent with six, counts, and these for each body; what a row lacks is empty."""
+    share = lambda c: F.coalesce(F.format_string("%.10f", F.col(c)), F.lit(""))
+    six = lambda c: F.coalesce(F.format_string("%.6f", c), F.lit(""))
+    percent = lambda c: six(F.col(c) * 100)
+    columns = [F.col("label").alias("dataset"), F.col("elem").cast("string").alias("element"), *[F.lit(v).alias(k) for k, v in settings.items()]]
+    if "coverage_2d" in results.columns:
+        columns += [share("coverage_2d").alias("coverage_2d"), percent("coverage_2d").alias("coverage_2d_percent")]
+    columns += [share("coverage_1d").alias("coverage_1d_mean"), percent("coverage_1d").alias("coverage_1d_mean_percent")]
+    if "n_covered_2d" in results.columns:
+        columns.append(F.col("n_covered_2d").cast("string").alias("covered_2d_count"))
+    columns.append(six(F.col("mean_covered_1d")).alias("covered_1d_mean_count"))
+    for b in bodies:
+        columns += [share(f"coverage_1d_{b}").alias(f"coverage_1d_{b}"), percent(f"coverage_1d_{b}").alias(f"coverage_1d_{b}_percent"), six(F.col(f"mean_covered_1d_{b}")).alias(f"covered_1d_{b}_mean_count")]
+    columns += [F.col("n_query").cast("string").alias("query_count"), F.col("n_input").cast("string").alias("input_count")]
+    return results.select(*columns, *([share("explained").alias("explained_variance_2d")] if "explained" in results.columns else []))
+
+
+def error_points(pairs: DataFrame, kind: str = "kind", truth: str = "truth", pred: str = "pred") -> DataFrame:
+    """kind and value, a line a point: truth, prediction and their difference with eight decimals."""
+    row = F.concat_ws(",", *[F.format_string("%.8f", x) for x in (F.col(truth), F.col(pred), F.col(pred) - F.col(truth))])
+    return pairs.select(kind, row.alias("value"))
+
+
 def points_text(points: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """PC1 PC2 Is_Covered, separated by blanks, one folder for each dataset and element."""
     rows = points.select("dataset", "elem", F.col("pc1").alias("PC1"), F.col("pc2").alias("PC2"), F.col("covered").cast("int").alias("Is_Covered"))
@@ -95,4 +128,19 @@ def points_text(points: DataFrame, path: str, mode: str = "errorifexists") -> No
 
 
 def report(df: DataFrame) -> DataFrame:
+    """value: each row as a JSON object."""
     return df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("value"))
+
+
+def reduce_report(flagged: DataFrame, mode: str, settings: dict[str, str | int | float | None], current: DataFrame | None = None, append_current: bool = False) -> DataFrame:
+    """One row: the mode, settings and counts of a reduction flagged(structure_id, selected), current(structure_id)."""
+    n_current = current.select("structure_id").distinct().count() if current is not None else 0
+    counts = flagged.agg(F.count("*").alias("input_count"), F.lit(n_current).cast("long").alias("current_count"), F.count_if("selected").alias("selected_from_input"), F.count_if(~F.col("selected")).alias("remain_from_input"))
+    counts = counts.withColumn("output_count", F.col("selected_from_input") + (F.col("current_count") if append_current else F.lit(0)))
+    return counts.select(F.lit(mode).alias("mode"), *[F.lit(v).alias(k) for k, v in settings.items()], *counts.columns)
+
+
+def build_report(spark: SparkSession, counts: dict[str, int], made: list[str], found: list[str]) -> DataFrame:
+    """One row: what a build's stages hold, how many it made, and whether it went on with or reused another's."""
+    row = (counts, len(made), bool(made and found), not made)
+    return spark.createDataFrame([row], "counts map<string,long>, stages_made int, resumed_from_existing_build boolean, reused_existing boolean")

@@ -331,12 +331,6 @@ def test_generators(spark):
     assert structures.trim_overlaps(spark.createDataFrame([twice], SCHEMA)).first().n_atoms == 2
     assert structures.sort_atoms(df).first().symbols == ["Ge", "Si"]
     assert structures.parameter_grid(df, t=[300, 600], m=[0, 1, 2]).count() == 6
-    one = [np.eye(3, dtype=int)]
-    cubic = [np.array(m) for m in ([[0, 1, 0], [0, 0, 1], [1, 0, 0]], [[-1, 0, 0], [0, -1, 0], [0, 0, 1]])]
-    group = [np.eye(3, dtype=int)]
-    while len(new := {tuple((a @ b).ravel()) for a in [*group, *cubic] for b in [*group, *cubic]} | {tuple(g.ravel()) for g in group}) > len(group):
-        group = [np.array(g).reshape(3, 3) for g in sorted(new)]
-    assert len(structures.displacement_directions(one)) == 6 and len(structures.displacement_directions(group)) <= 2
     sites = spark.createDataFrame([(0, 1, SI[3], [[1, 0, 0, 0, 1, 0, 0, 0, 1]])], "structure_id long, atom_idx int, cell array<double>, rotations array<array<int>>")
     d = structures.displacements(sites, 0.01).collect()
     assert len(d) == 6 and all(abs(math.hypot(r.dx, r.dy, r.dz) - 0.01) < 1e-12 for r in d)
