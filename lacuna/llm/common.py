@@ -54,20 +54,27 @@ def labelled_sample(docs: DataFrame, per_label: int, label: str | None = None, k
 
     docs(doc_id, text) has the column `label`, or known(doc_id, y) has the labels. Copies of a text count once; rows with
     null label or text are left out. The choice depends on the rows only, not on their order or partitions. Labels meet
-    text hashes, never texts: only the chosen texts leave their tasks, per_label for each label value, to the driver. Counts
-    of 4,096 ranges of hashes tell where a label's sample ends, and only rows up to there are ranked.
+    text hashes, never texts: only the chosen texts leave their tasks, per_label for each label value, to the driver. Hashes
+    are spread evenly, so that a share of their range holds a few times per_label rows of a label; it is widened where it
+    holds fewer than wanted, and only its rows are ranked.
     """
     rows = docs.where(F.col("text").isNotNull()).select("doc_id", F.col("text").alias("t"), F.xxhash64("text").alias("h"), *([F.col(label).alias("y")] if label else []))
     keys = (rows if label else rows.select("doc_id", "h").join(known, "doc_id")).where("y is not null").select("y", "h").distinct()
-    keys = cut(keys.withColumn("range", F.shiftright("h", 52)))
-    upto = F.sum("n").over(Window.partitionBy("y").orderBy("range"))
-    ends = keys.groupBy("y", "range").agg(F.count("*").alias("n")).withColumn("before", upto - F.col("n")).where(F.col("before") < per_label)
-    ends = ends.groupBy("y").agg(F.max("range").alias("end"))  # a row for each label value
-    keys = keys.join(small_side(cut(ends)), "y").where("range <= end").select("y", "h")
-    keys = keys.withColumn("r", F.row_number().over(Window.partitionBy("y").orderBy("h"))).where(F.col("r") <= per_label).drop("r")
-    keys = cut(keys)  # per_label rows a label value at most, so broadcast
-    texts = rows.select("t", "h").join(F.broadcast(keys.select("h").distinct()), "h").groupBy("h").agg(F.min("t").alias("t"))
-    picked = texts.join(F.broadcast(keys), "h")
+    keys = cut(keys)
+    counts = {r.y: r.n for r in keys.groupBy("y").agg(F.count("*").alias("n")).collect()}  # a row for each label value
+    share = {y: min(1.0, 4 * per_label / n) for y, n in counts.items()}
+    while True:
+        ends = [(y, min((1 << 63) - 1, int(s * (1 << 64)) - (1 << 63))) for y, s in share.items()]
+        held = keys.join(small_side(keys.sparkSession.createDataFrame(ends, f"y {keys.schema['y'].dataType.simpleString()}, upto long")), "y").where("h <= upto").select("y", "h")
+        found = {r.y: r.n for r in held.groupBy("y").agg(F.count("*").alias("n")).collect()}
+        short = [y for y, n in counts.items() if found.get(y, 0) < min(n, per_label)]
+        if not short:
+            break
+        share |= {y: min(1.0, 4 * share[y]) for y in short}
+    keys = held.withColumn("r", F.row_number().over(Window.partitionBy("y").orderBy("h"))).where(F.col("r") <= per_label).drop("r")
+    keys = cut(keys)  # per_label rows a label value at most
+    texts = rows.select("t", "h").join(small_side(keys.select("h").distinct()), "h").groupBy("h").agg(F.min("t").alias("t"))
+    picked = texts.join(small_side(keys), "h")
     return [(r.t, r.y) for r in sorted(picked.collect(), key=lambda r: (str(r.y), r.h))]
 
 
@@ -104,15 +111,18 @@ def components(edges: DataFrame, limit: int = 60) -> DataFrame:
 
 
 def ranked(df: DataFrame, key: list[str], order: list[str], rank: str, rows_a_salt: int = 1_000_000) -> DataFrame:
-    """Adds a gapless rank from 0 within each key, without bringing a hot key's rows to one task.
+    """Adds a gapless rank from 0 within each key, without bringing a hot key's rows to one task. df must not change when it is
+    read again.
 
-    Rows of a key are dealt into salts by a hash of `order`, ranked within (key, salt), and moved up by the number of
-    rows in earlier salts. The number of salts grows with the table.
+    Rows of a key are dealt into salts by a hash of `order` and of their place in the table, so that rows equal in `order` are
+    dealt too; they are ranked within (key, salt), and moved up by the number of rows in earlier salts. The number of salts
+    grows with the table.
     """
     salts = max(64, df.count() // rows_a_salt)
-    df = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int"))
+    df = df.withColumn("_place", F.monotonically_increasing_id())
+    df = df.withColumn("_salt", F.pmod(F.xxhash64(*order, "_place"), F.lit(salts)).cast("int"))
     counts = df.groupBy(*key, "_salt").agg(F.count("*").alias("_n"))
     before = F.sum("_n").over(Window.partitionBy(*key).orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1))
     counts = counts.select(*key, "_salt", F.coalesce(before, F.lit(0)).alias("_before"))
-    within = df.withColumn("_within", F.row_number().over(Window.partitionBy(*key, "_salt").orderBy(*order)))
-    return within.join(counts, [*key, "_salt"]).withColumn(rank, F.col("_within") - 1 + F.col("_before")).drop("_salt", "_within", "_before")
+    within = df.withColumn("_within", F.row_number().over(Window.partitionBy(*key, "_salt").orderBy(*order, "_place")))
+    return within.join(counts, [*key, "_salt"]).withColumn(rank, F.col("_within") - 1 + F.col("_before")).drop("_place", "_salt", "_within", "_before")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lacuna.llm.common import cut
+from lacuna.llm.common import cut, small_side
 
 SCALE, K = 256, 5
 RATIO = 0.9
@@ -165,7 +165,7 @@ def top_k(table: DataFrame, queries: Column, k: int = K, scale: int = SCALE) ->
     # at most a few hundred buckets of like length for each vector size
     sizes = rows.groupBy("dim", "bucket").agg(F.count("*").alias("n"), F.count_if("is_query").alias("q")).withColumns({"parts": F.ceil(F.col("n") / CHUNK).cast("int"), "q_parts": F.ceil(F.col("q") / QUERY_BLOCK).cast("int")})
     sizes = sizes.withColumn("longest", F.col("bucket") == F.max("bucket").over(Window.partitionBy("dim"))).drop("n", "q")
-    dealt = rows.join(F.broadcast(cut(sizes)), ["dim", "bucket"])
+    dealt = rows.join(small_side(cut(sizes)), ["dim", "bucket"])
     own = F.struct("vec_id", "v", F.lit(NONE).cast("long").alias("theta"))
     chunks = dealt.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int")).groupBy("dim", "bucket", "part", "longest").agg(F.collect_list(own).alias("rows"))  # about CHUNK vectors
     chunks = cut(chunks.withColumnRenamed("longest", "top").mapInArrow(packer(), "dim int, bucket int, part int, top boolean, " + PACKED_TYPES))

@@ -187,7 +187,13 @@ def test_topk(spark):
 def test_pipeline(spark, docs, empty, labels, tmp_path):
     labels.write.parquet(str(tmp_path / "labels.parquet"))
     spark.createDataFrame(ROWS, DOCS).write.parquet(str(tmp_path / "documents.parquet"))
-    assert corpus_pipeline.run(spark, str(tmp_path)).count() >= 0
+    now = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, now, str(tmp_path))
+    kept = sorted(((r.doc_id, r.text) for r in now.collect()), key=str)
+    assert kept and {i for i, _ in kept} <= {r[0] for r in ROWS}
+    packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted((str(r.doc_id) for r in packed if r.piece == 0)) == sorted(str(i) for i, _ in kept)
     for name, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, str(tmp_path))
         assert out.columns == docs.columns, name
