@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lacuna.functions.numeric import bin_index, edge, linspace
+from lacuna.operators import lineage
 
 
 def with_bin(df: DataFrame, stats: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
@@ -65,8 +66,9 @@ def coverage_score(df: DataFrame, keys: list[str], value: str, nbins: int) -> Da
     return with_bin(df, ends, keys, value).groupBy(*keys).agg((F.countDistinct("bin") / F.lit(float(nbins - 1))).alias("score"))
 
 
-def by_density(df: DataFrame, density: str = "density") -> DataFrame:
-    return df.orderBy(density)
+def by_density(df: DataFrame, ties: list[str], density: str = "density") -> DataFrame:
+    """df with place, from 0 for the thinnest; equal densities are in order of `ties`."""
+    return lineage.ranked(df, [F.col(density), *[F.col(c) for c in ties]]).withColumnRenamed("rank", "place")
 
 
 def cumulative(histogram: DataFrame, keys: list[str]) -> DataFrame:

@@ -617,5 +617,3 @@ def order_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 assert adapters.SPLIT == "2024-01-16"  # the SQL above has it as a literal
-
-from lacuna.plans import flows, proofs, rules  # noqa: E402, F401  register more queries and SQL

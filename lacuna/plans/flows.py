@@ -406,7 +406,7 @@ def merged_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 BODIES = {"two": [0, 1, 2, 3], "three": [4, 5, 6, 7, 8, 9], "four": [2, 60, 63]}
 
 
-@query(f"""WITH e AS (SELECT vec_id AS id, label AS elem, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) - 1 AS dim FROM embeddings), x AS (SELECT *, (id % 8) // 2 - 1 AS main FROM e WHERE id % 2 = 0), q AS (SELECT * FROM e WHERE id % 2 = 1),
+BODY_SQL = f"""WITH e AS (SELECT vec_id AS id, label AS elem, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) - 1 AS dim FROM embeddings), x AS (SELECT *, (id % 8) // 2 - 1 AS main FROM e WHERE id % 2 = 0), q AS (SELECT * FROM e WHERE id % 2 = 1),
 g0 AS (SELECT elem, dim, count(*) AS n, min(v) AS a, max(v) AS z, quantile_cont(v, 0.75) - quantile_cont(v, 0.25) AS iqr FROM q GROUP BY elem, dim),
 g1 AS (SELECT *, CASE WHEN 2.0::DOUBLE * iqr / pow(n, 1.0::DOUBLE / 3) > 0 THEN 2.0::DOUBLE * iqr / pow(n, 1.0::DOUBLE / 3) ELSE z - a END AS w FROM g0),
 g AS (SELECT *, CASE WHEN z > a THEN greatest(1, floor((z - a) / w)) ELSE 1 END AS nb FROM g1),
@@ -416,12 +416,20 @@ xc AS (SELECT x.elem, x.dim, least(floor((v - a) / ((z - a) / nb)), nb - 1) AS c
 c AS (SELECT l.pos, l.main, qc.elem, qc.dim, count(*) AS n_query, count(*) FILTER (WHERE first <= l.pos) AS n_covered FROM qc CROSS JOIN l LEFT JOIN xc ON xc.elem = qc.elem AND xc.dim = qc.dim AND xc.cell = qc.cell GROUP BY ALL),
 s AS (SELECT pos, main, elem, max(n_query) AS n_query, avg(n_covered / n_query::DOUBLE) AS all_dims, avg(n_covered) AS mean_covered, {", ".join(f"avg(CASE WHEN dim IN ({', '.join(map(str, d))}) THEN n_covered / n_query::DOUBLE END) AS {b}" for b, d in BODIES.items())} FROM c GROUP BY ALL),
 i AS (SELECT l.pos, y.elem, count(*) AS n_input FROM (SELECT DISTINCT id, elem, main FROM x) y JOIN l y0 ON y.main = y0.main JOIN l ON y0.pos <= l.pos GROUP BY ALL)
-SELECT s.pos::INTEGER AS label_pos, CASE WHEN main = -1 THEN 'init' ELSE 'loop-' || (main + 1) END AS label, s.elem, n_query, n_input, round(all_dims, 10) AS coverage_1d, round(mean_covered, 10) AS mean_covered, {", ".join(f"round({b}, 10) AS {b}" for b in BODIES)} FROM s JOIN i USING (pos, elem)""")
-def coverage_by_body(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One-dimensional coverage of half of the vectors by four cumulative versions of the other half, by body."""
+SELECT s.pos::INTEGER AS label_pos, CASE WHEN main = -1 THEN 'init' ELSE 'loop-' || (main + 1) END AS label, s.elem, n_query, n_input, round(all_dims, 10) AS coverage_1d, round(mean_covered, 10) AS mean_covered, {", ".join(f"round({b}, 10) AS {b}" for b in BODIES)} FROM s JOIN i USING (pos, elem)"""
+
+
+def halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Vectors of even ids in four versions, and those of odd ids."""
     e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("structure_id"), F.lit(0).alias("atom_idx"), F.col("label").alias("elem"), F.transform("embedding", lambda x: x.cast("double")).alias("features"))
     data = e.where("structure_id % 2 = 0").withColumn("main", (F.floor(F.col("structure_id") % 8 / 2) - 1).cast("int"))
-    out = report.coverage_by_body(data, e.where("structure_id % 2 = 1"), BODIES)
+    return data, e.where("structure_id % 2 = 1")
+
+
+@query(BODY_SQL)
+def coverage_by_body(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One-dimensional coverage of half of the vectors by four cumulative versions of the other half, by body."""
+    out = report.coverage_by_body(*halves(spark, sf_dir), BODIES)
     return out.select("label_pos", "label", "elem", "n_query", "n_input", r("coverage_1d", 10).alias("coverage_1d"), r("mean_covered_1d", 10).alias("mean_covered"), *[r(f"coverage_1d_{b}", 10).alias(b) for b in BODIES])
 
 

@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__
-from lacuna.plans.catalogue import ORACLE_SQL, QUERIES
+from lacuna.plans.queries import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings"

@@ -118,7 +118,7 @@ def test_build_goes_on_after_each_stage(spark, base, tmp_path):
     again = made(spark, base, str(tmp_path / "whole"))
     assert again.reused and rows(again.table) == rows(whole.table)
     for i, name in enumerate(names):
-        for step, found in ((name, names[:i]), (f"mark of {name}", names[:i])):
+        for step, found in ((name, names[:i]), (f"mark of {name}", names[:i])) if i in (1, 4) else ((f"mark of {name}", names[:i]),):
             folder = str(tmp_path / step.replace(" ", "_"))
             with pytest.raises(Stopped):
                 made(spark, base, folder, before=stop_at({step}))
@@ -168,11 +168,9 @@ def test_generations(undisturbed):
     assert sorted(u for *_, u in training) == [1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13]
 
 
-@pytest.mark.parametrize("nth", range(1, 7))
+@pytest.mark.parametrize("nth", [1, 3])
 @pytest.mark.parametrize("step", ["start", "select", "flush", "done"])
 def test_killed_at_a_step(spark, tmp_path, undisturbed, step, nth):
-    if step == "flush" and nth > 3:
-        pytest.skip("three flushes")
     times = []
 
     def before(name):
