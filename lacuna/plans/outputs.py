@@ -73,10 +73,10 @@ def selected_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(out, "part string, n long, current_first boolean")
 
 
-@query("""SELECT event_id, (1 + user_id % 5)::INTEGER AS species, [0, (event_id % 11)::INTEGER, 20] AS moments FROM events""")
+@query("""SELECT event_id, (1 + user_id % 5)::INTEGER AS species, '0 ' || (event_id % 11) || ' 20' AS moments FROM events""")
 def potential_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     header = F.concat(F.lit("MTP\nversion = 1.1.0\nspecies_count = "), (1 + F.col("user_id") % 5).cast("string"), F.lit("\nalpha_moments_count = 9\nalpha_moment_mapping = {0, "), (F.col("event_id") % 11).cast("string"), F.lit(",20}\n"))
-    return table(spark, sf_dir, "events").select("event_id", text.potential_species(header).alias("species"), text.potential_moments(header).alias("moments"))
+    return table(spark, sf_dir, "events").select("event_id", text.potential_species(header).alias("species"), F.array_join(text.potential_moments(header).cast("array<string>"), " ").alias("moments"))
 
 
 @query("""WITH x AS (SELECT l_orderkey AS o, row_number() OVER () AS i, l_quantity AS x, l_discount * 100 AS y, l_tax * 100 AS z FROM lineitem),

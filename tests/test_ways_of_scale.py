@@ -117,7 +117,8 @@ def test_clusters(spark):
         assert len(found) == 240 and len({found[60 * k] for k in range(4)}) == 4
         assert all(found[i] == found[i // 60 * 60] for i in found)
         assert (used == threshold) == (threshold == 0.5)
-    out, used = cluster.cluster(df, ["a", "b"], 4, 50.0)  # halved until there are four cells, which are then the clusters
+    moved = df.select("id", (F.col("a") + 20).alias("a"), (F.col("b") + 20).alias("b"))  # all in one cell at first
+    out, used = cluster.cluster(moved, ["a", "b"], 4, 50.0)  # halved until there are four cells, which are then the clusters
     assert used < 50 and out.count() == 240 and {r.cluster for r in out.collect()} == {0, 1, 2, 3}
     with pytest.raises(ValueError):
         cluster.cluster(df.limit(3), ["a", "b"], 4, 0.5)
