@@ -51,7 +51,7 @@ def test_ranges_tell_their_frames_at_every_cut(tmp_path, tricky):
         assert tricky or not wrong
 
 
-@pytest.mark.parametrize("range_bytes", [7, 61, 200, 1000, 10**6])
+@pytest.mark.parametrize("range_bytes", [61, 1000, 10**6])
 @pytest.mark.parametrize("tricky", [False, True])
 def test_equal_to_whole_file(spark, tmp_path, range_bytes, tricky):
     text = written(2, 9 if range_bytes < 50 else 40, tricky)
