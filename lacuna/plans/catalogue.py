@@ -235,7 +235,7 @@ def greedy_cover_certificate(spark: SparkSession, sf_dir: str) -> DataFrame:
 p AS (SELECT *, row_number() OVER (ORDER BY freq DESC, structure_id) - 1 AS place, count(*) OVER () AS len FROM f)
 SELECT structure_id, freq, place::INTEGER AS place FROM p WHERE CASE WHEN len <= 10 THEN place < 10 ELSE place < 2 OR (place >= 2 AND (place - 2) % greatest(1, (len - 2) // 8) = 0) END""")
 def fwss_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return select.fwss(cover.frequencies(_novel(spark, sf_dir)), 10).select("structure_id", "freq", "place")
+    return select.fwss(cover.frequencies(_novel(spark, sf_dir)), 10).select("structure_id", "freq", F.col("place").cast("int").alias("place"))
 
 
 def _event_descriptors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -259,13 +259,13 @@ def reduce_reference_guided(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def generation_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     ref, cand = split(_event_descriptors(spark, sf_dir))
-    return sampling.sample(ref, cand, [90.0, 99.0, 100.0], [40, 20, 10])[0].select("structure_id", "freq", "place")
+    return sampling.sample(ref, cand, [90.0, 99.0, 100.0], [40, 20, 10])[0].select("structure_id", "freq", F.col("place").cast("int").alias("place"))
 
 
 @query()
 def mean_descriptor_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     ref, cand = split(embedding_rows(spark, sf_dir))
-    return sampling.mean_sample(ref, cand, [90.0, 100.0], [20, 10])[0].select("structure_id", "freq", "place")
+    return sampling.mean_sample(ref, cand, [90.0, 100.0], [20, 10])[0].select("structure_id", "freq", F.col("place").cast("int").alias("place"))
 
 
 @query(f"""{BASE}, {covered_sql('cand', ('elem',))}, c AS (SELECT elem, structure_id % 4 AS config, 100.0::DOUBLE * avg(covered::INT::DOUBLE) AS rate FROM l GROUP BY elem, config)
@@ -345,7 +345,7 @@ def body_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def pca_explained(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pca.explained(pca.fit(embedding_rows(spark, sf_dir), "features", "elem"), spark, "elem").select("elem", r("explained").alias("explained"))
+    return pca.explained(pca.fit(embedding_rows(spark, sf_dir), "features", "elem"), spark, "elem").select(F.col("elem").cast("int").alias("elem"), r("explained").alias("explained"))
 
 
 @query()

@@ -289,7 +289,7 @@ def generation_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         return stored(loop.history())
 
 
-@query("""WITH g AS (SELECT event_type, day(ts) AS gen, avg(value) > 50.5 AS label FROM events GROUP BY ALL), k AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY event_type ORDER BY gen) = 1 THEN 0 ELSE label::INT END AS kept FROM g)
+@query("""WITH g AS (SELECT event_type, day(ts)::INTEGER AS gen, avg(value) > 50.5 AS label FROM events GROUP BY ALL), k AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY event_type ORDER BY gen) = 1 THEN 0 ELSE label::INT END AS kept FROM g)
 SELECT event_type, gen, label, coalesce(sum(kept) OVER w, 0)::BIGINT AS raised, round(0.2 * (1 + coalesce(sum(kept) OVER w, 0)), 6)::DOUBLE AS limit_now FROM k WINDOW w AS (PARTITION BY event_type ORDER BY gen ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
 def limit_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The limit of each generation, a day of a type, from records of which every generation has three: only its last counts."""

@@ -41,7 +41,7 @@ def component_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = li.select(F.col("l_returnflag").alias("dataset"), F.col("l_linenumber").alias("elem"), F.col("l_quantity").alias("pc1"), F.col("l_tax").alias("pc2"), (F.col("l_discount") > 0.05).alias("covered"))
     with flows.folder(spark) as path:
         writers.points_text(points, path)
-        back = spark.read.option("sep", " ").option("header", True).schema("PC1 double, PC2 double, Is_Covered int, dataset string, elem long").csv(path)
+        back = spark.read.option("sep", " ").option("header", True).schema("PC1 double, PC2 double, Is_Covered int, dataset string, elem int").csv(path)
         return stored(back.groupBy("dataset", "elem").agg(F.count("*").alias("n"), r(F.sum("PC1"), 3).alias("pc1"), F.sum("Is_Covered").alias("covered")))
 
 

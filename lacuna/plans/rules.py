@@ -141,12 +141,12 @@ def _with_mean(spark: SparkSession, sf_dir: str, rate: float) -> DataFrame:
 
 @query(f"WITH {FWSS} SELECT structure_id, place::INTEGER AS place, in_mean, in_cover FROM p WHERE {STRIDED}")
 def fwss_with_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _with_mean(spark, sf_dir, 95.0).select("structure_id", "place", "in_mean", "in_cover")
+    return _with_mean(spark, sf_dir, 95.0).select("structure_id", F.col("place").cast("int").alias("place"), "in_mean", "in_cover")
 
 
 @query(f"WITH {FWSS} SELECT structure_id, place::INTEGER AS place, in_mean, in_cover FROM p WHERE {TAIL}")
 def fwss_with_mean_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _with_mean(spark, sf_dir, 80.0).select("structure_id", "place", "in_mean", "in_cover")
+    return _with_mean(spark, sf_dir, 80.0).select("structure_id", F.col("place").cast("int").alias("place"), "in_mean", "in_cover")
 
 
 @query(f"WITH {FWSS} SELECT count(*) FILTER (WHERE in_mean) AS n_mean, count(*) FILTER (WHERE in_cover) AS n_cover, count(*) FILTER (WHERE in_mean AND in_cover) AS n_both FROM p WHERE {STRIDED}")
